@@ -23,9 +23,9 @@ def day_from_text(col: str) -> Column:
 def event_instant(col: str, naive_zone: str = "UTC") -> Column:
     """Instant from ISO text. Text with an offset keeps it, text without is read in ``naive_zone``."""
     text = F.trim(F.col(col))
-    full = F.when(text.rlike(DATE_ONLY_PATTERN), F.concat(text, F.lit("T00:00:00"))).otherwise(text)
-    zoned = F.when(full.rlike(ZONE_PATTERN), full).otherwise(F.concat(full, F.lit(naive_zone)))
-    return F.try_to_timestamp(zoned)
+    midnight = F.when(text.rlike(DATE_ONLY_PATTERN), "T00:00:00").otherwise("")
+    zone = F.when(text.rlike(ZONE_PATTERN), "").otherwise(naive_zone)
+    return F.try_to_timestamp(F.concat(text, midnight, zone))
 
 
 def wall_clock(instant: Column, zone: str = "UTC") -> Column:

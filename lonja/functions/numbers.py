@@ -7,26 +7,23 @@ from pyspark.sql import functions as F
 
 from ..rules import MONEY
 
-# Currency marks that may surround a price.
-CURRENCY_PATTERN = r"[€$]|EUR"
-OUTER_SPACE_PATTERN = r"^[\s ]+|[\s ]+$| "
-DECIMAL_COMMA_PATTERN = r",[^.,]*$"
-NUMBER_PATTERN = r"^[+-]?(?:\d+\.?\d*|\.\d+)$"
+# What may stand around the digits of a price.
+CURRENCY_CODE = "EUR"
+CURRENCY_SIGNS = "€$ "
+# The last comma or dot is the decimal mark: a dot goes when the last mark is a comma, a comma when it is a dot.
+GROUPING_PATTERN = r"\.(?=.*,[^.,]*$)|,(?=.*\.[^.,]*$)"
+NUMBER_PATTERN = r"^[\s\u00a0]*([+-]?(?:\d+\.?\d*|\.\d+))[\s\u00a0]*$"
 WHOLE_PATTERN = r"^([+-]?\d+)(?:\.\d*)?$"
 
 
 def price_text(col: str) -> Column:
-    """Canonical decimal text of a price, NULL where the text is not a plain number.
+    """Canonical decimal text of a price, empty where the text is not a plain number (``nan``, ``1e3``, ``12 units``).
 
-    The last mark is the decimal one. With a comma last, ``translate`` drops every dot and turns the comma into the
-    dot; otherwise it drops the commas. ``nan``, ``inf``, ``1e3`` and the like fail the number pattern.
+    Every step uses the one before exactly once: an expression that repeats its input is evaluated once per mention.
     """
-    bare = F.regexp_replace(F.upper(F.col(col)), CURRENCY_PATTERN, "")
-    bare = F.regexp_replace(bare, OUTER_SPACE_PATTERN, "")
-    dotted = F.when(bare.rlike(DECIMAL_COMMA_PATTERN), F.translate(bare, ",.", ".")).otherwise(
-        F.translate(bare, ",", "")
-    )
-    return F.when(dotted.rlike(NUMBER_PATTERN), dotted)
+    bare = F.translate(F.replace(F.upper(F.col(col)), F.lit(CURRENCY_CODE), F.lit("")), CURRENCY_SIGNS, "")
+    one_mark = F.translate(F.regexp_replace(bare, GROUPING_PATTERN, ""), ",", ".")
+    return F.regexp_extract(one_mark, NUMBER_PATTERN, 1)
 
 
 def price_value(col: str) -> Column:

@@ -1,16 +1,19 @@
 """General DataFrame operators: validation, keep-one deduplication, ranking without a single-task sort, staging."""
 
 from .keep_one import keep_earliest, keep_latest
-from .quality import Check, Checked, reject_summary
+from .quality import Check, Checked, evaluated_once, reject_summary
 from .ranking import number_rows, rank_within
-from .staging import Stage, shared_folder
+from .staging import Keep, Stage, not_kept, shared_folder
 
 __all__ = [
     "Check",
     "Checked",
+    "Keep",
     "Stage",
+    "evaluated_once",
     "keep_earliest",
     "keep_latest",
+    "not_kept",
     "number_rows",
     "rank_within",
     "reject_summary",

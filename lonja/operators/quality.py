@@ -58,6 +58,15 @@ class Checked:
         return self.marked.where(F.col(REASON).isNotNull()).select(*self.rejected_columns, REASON)
 
 
+def evaluated_once(rows: DataFrame) -> DataFrame:
+    """The same rows, with the computed columns as the output of a generator.
+
+    A filter on a computed column is otherwise merged with its formula, and the formula is evaluated in the filter and
+    again in the projection. Worth it where the formulas are dear (text cleaning) and nearly all columns are needed.
+    """
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
+
+
 def reject_summary(tables: Mapping[str, Checked]) -> DataFrame:
     """Rejected rows per table and reason. Each table is counted before the union, so little is shuffled."""
     counts = [

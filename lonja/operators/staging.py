@@ -4,10 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# A builder that uses an intermediate table several times hands it to a ``Keep`` under a name and goes on with the
+# result. ``Stage.keep`` writes it, ``not_kept`` leaves it lazy.
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def not_kept(rows: DataFrame, name: str) -> DataFrame:
+    return rows
+
+
 _own_folders: dict[str, str] = {}
 
 

@@ -3,15 +3,17 @@
 Facts are reduced to their grain before they meet a dimension, so joins move one row per product or customer and a key
 with very many facts is summed up in the tasks that read it. Dimension joins carry no broadcast hint: Spark broadcasts
 a dimension only while its measured size is under the session's limit.
+
+Ranks look at their rows several times. Pass ``keep=stage.keep`` to have those rows computed once and written.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar_columns
-from ..operators import number_rows, rank_within
+from ..operators import Keep, not_kept, number_rows, rank_within
 from ..rules import DEFAULT_RULES, ShopRules
 
 
@@ -59,7 +61,11 @@ def _sales_by_sku(sales: DataFrame) -> DataFrame:
 
 
 def top_products(
-    sales: DataFrame, variants: DataFrame, products: DataFrame, rules: ShopRules = DEFAULT_RULES
+    sales: DataFrame,
+    variants: DataFrame,
+    products: DataFrame,
+    rules: ShopRules = DEFAULT_RULES,
+    keep: Keep = not_kept,
 ) -> DataFrame:
     """Income per sku with its rank in the whole shop and in its category."""
     by_sku = (
@@ -67,6 +73,7 @@ def top_products(
         .join(variants.select("sku", "producto_id"), "sku", "left")
         .join(_product_labels(products), "producto_id", "left")
     )
+    by_sku = keep(by_sku, "ventas_por_sku")
     ranked = rank_within(by_sku, "ingresos", "ranking_global")
     # ranked before the label for a missing category is filled in: no category is a group of its own
     ranked = rank_within(ranked, "ingresos", "ranking_categoria", by=["categoria"])
@@ -83,7 +90,7 @@ def top_products(
     )
 
 
-def sales_by_attribute(sales: DataFrame, variants: DataFrame) -> DataFrame:
+def sales_by_attribute(sales: DataFrame, variants: DataFrame, keep: Keep = not_kept) -> DataFrame:
     """Demand by size and by colour, stacked, ranked by units inside each kind."""
     by_pair = (
         _sales_by_sku(sales)
@@ -105,6 +112,7 @@ def sales_by_attribute(sales: DataFrame, variants: DataFrame) -> DataFrame:
         "unidades",
         "ingresos",
     )
+    values = keep(values, "ventas_por_atributo")
     return rank_within(values, "unidades", "ranking", by=["tipo"]).select(
         "valor", "tipo", "unidades", "ingresos", "ranking"
     )
@@ -130,8 +138,8 @@ def conversion_funnel(events: DataFrame, rules: ShopRules = DEFAULT_RULES) -> Da
         F.coalesce("sesiones", F.lit(0)).alias("sesiones"),
         F.coalesce("eventos", F.lit(0)).alias("eventos"),
     )
-    first = counted.where(F.col("etapa") == stages[0]).agg(F.max("sesiones"))
-    rate = F.when(F.col("sesiones") > 0, F.try_divide(F.col("sesiones").cast("double"), first.scalar()))
+    first = F.max(F.when(F.col("orden") == 1, F.col("sesiones"))).over(Window.partitionBy(F.lit(0)))
+    rate = F.try_divide(F.col("sesiones").cast("double"), first)
     return filled.withColumn("tasa_sobre_vistas", F.when(F.col("sesiones") > 0, rate).otherwise(F.lit(0.0)))
 
 
@@ -247,7 +255,9 @@ def _segment(orders: Column, rules: ShopRules) -> Column:
     return F.coalesce(*ladder)
 
 
-def customer_value(order_view: DataFrame, customers: DataFrame, rules: ShopRules = DEFAULT_RULES) -> DataFrame:
+def customer_value(
+    order_view: DataFrame, customers: DataFrame, rules: ShopRules = DEFAULT_RULES, keep: Keep = not_kept
+) -> DataFrame:
     """Orders, spend, average ticket, first and last purchase, segment and place of every buyer."""
     spend = (
         order_view.where(_sold(rules) & _paid(rules))
@@ -260,6 +270,7 @@ def customer_value(order_view: DataFrame, customers: DataFrame, rules: ShopRules
         )
     )
     known = customers.select(F.col("id").alias("cliente_id"), "nombre", "correo", "ciudad")
+    spend = keep(spend, "gasto_por_cliente")
     return (
         number_rows(spend, "gasto_total", ["cliente_id"], "ranking")
         .join(known, "cliente_id", "left")

@@ -136,11 +136,16 @@ def run_silver(spark: SparkSession, lake: Lake, rules: ShopRules = DEFAULT_RULES
 
 @dataclass(frozen=True)
 class Metric:
-    """A Gold table: what it reads and how it is built. Optional ones are left out when an input is missing."""
+    """A Gold table: what it reads and how it is built.
+
+    ``ruled`` builders take the business rules, ``kept`` ones a place for intermediate tables. An ``optional`` table is
+    left out when an input is missing.
+    """
 
     build: Callable[..., DataFrame]
     inputs: tuple[str, ...]
     ruled: bool = True
+    kept: bool = False
     optional: bool = False
 
 
@@ -148,8 +153,8 @@ SALES = "ventas_unificadas"
 
 METRICS: Mapping[str, Metric] = {
     "gold_ventas_diarias": Metric(gold.daily_sales, (SALES,), ruled=False),
-    "gold_top_productos": Metric(gold.top_products, (SALES, "silver_variantes", "silver_productos")),
-    "gold_ventas_por_talla": Metric(gold.sales_by_attribute, (SALES, "silver_variantes"), ruled=False),
+    "gold_top_productos": Metric(gold.top_products, (SALES, "silver_variantes", "silver_productos"), kept=True),
+    "gold_ventas_por_talla": Metric(gold.sales_by_attribute, (SALES, "silver_variantes"), ruled=False, kept=True),
     "gold_embudo_conversion": Metric(gold.conversion_funnel, ("silver_eventos_navegacion",)),
     "gold_carritos_abandonados": Metric(
         gold.abandoned_carts, ("silver_eventos_navegacion", "silver_variantes", "silver_productos")
@@ -160,7 +165,7 @@ METRICS: Mapping[str, Metric] = {
     "gold_tasa_devolucion": Metric(
         gold.return_rate, ("silver_pedido_detalle", "silver_devoluciones", "silver_productos")
     ),
-    "gold_clientes_valor": Metric(gold.customer_value, ("silver_pedido_detalle", "silver_clientes")),
+    "gold_clientes_valor": Metric(gold.customer_value, ("silver_pedido_detalle", "silver_clientes"), kept=True),
     "gold_catalogo_externo": Metric(
         gold.external_catalog_benchmark, ("silver_catalogo_externo",), ruled=False, optional=True
     ),
@@ -187,8 +192,10 @@ def run_gold(spark: SparkSession, lake: Lake, rules: ShopRules = DEFAULT_RULES)
                     raise
                 log.warning("%s left out: its source was never ingested", name)
                 continue
-            built = metric.build(*inputs, rules) if metric.ruled else metric.build(*inputs)
-            counts[name] = _counted_write(built, lake.gold(name))
+            options = {"rules": rules} if metric.ruled else {}
+            if metric.kept:
+                options["keep"] = stage.keep
+            counts[name] = _counted_write(metric.build(*inputs, **options), lake.gold(name))
     return counts
 
 

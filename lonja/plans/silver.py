@@ -23,7 +23,7 @@ from ..functions import (
     upper_trim,
     whole_number,
 )
-from ..operators import Check, Checked, keep_earliest, keep_latest
+from ..operators import Check, Checked, evaluated_once, keep_earliest, keep_latest
 from ..rules import DEFAULT_RULES, MONEY, ShopRules
 
 
@@ -212,7 +212,7 @@ def returns(bronze: DataFrame, valid_orders: DataFrame) -> Checked:
 
 def sales_history(raw: DataFrame) -> Checked:
     """Sales from before the shop had its database. Lines are not deduplicated: one reference may repeat."""
-    clean = raw.select(
+    typed = raw.select(
         day_from_text("fecha").alias("fecha"),
         "orden_ref",
         upper_trim("sku").alias("sku"),
@@ -220,7 +220,8 @@ def sales_history(raw: DataFrame) -> Checked:
         exact_price("precio_unitario").alias("precio_unitario"),
         lower_trim("canal").alias("canal"),
         title_trim("ciudad").alias("ciudad"),
-    ).withColumn("subtotal", F.col("cantidad") * F.col("precio_unitario"))
+    )
+    clean = evaluated_once(typed).withColumn("subtotal", F.col("cantidad") * F.col("precio_unitario"))
     sound = (
         F.col("fecha").isNotNull() & (F.col("cantidad") > 0) & (F.col("precio_unitario") > 0) & _filled("sku")
     )
@@ -233,9 +234,10 @@ def sales_history(raw: DataFrame) -> Checked:
 
 
 def returns_history(raw: DataFrame) -> Checked:
-    clean = raw.select(
+    typed = raw.select(
         day_from_text("fecha").alias("fecha"), F.trim("orden_ref").alias("orden_ref"), lower_trim("motivo").alias("motivo")
     )
+    clean = evaluated_once(typed)
     return Checked.by(
         clean,
         [Check("fecha_o_referencia_invalida", F.col("fecha").isNotNull() & _filled("orden_ref"))],
@@ -266,7 +268,7 @@ def events(raw: DataFrame, rules: ShopRules = DEFAULT_RULES) -> Checked:
         "canal": lower_trim("canal"),
     }
     names = schemas.field_names(schemas.EVENT)
-    clean = raw.select(*[cleaned.get(name, F.col(name)).alias(name) for name in names])
+    clean = evaluated_once(raw.select(*[cleaned.get(name, F.col(name)).alias(name) for name in names]))
     sound = (
         _filled("event_id")
         & _filled("session_id")
@@ -283,7 +285,7 @@ def events(raw: DataFrame, rules: ShopRules = DEFAULT_RULES) -> Checked:
 
 
 def external_catalog(raw: DataFrame) -> Checked:
-    clean = raw.select(
+    typed = raw.select(
         whole_number("id").alias("api_id"),
         F.trim("title").alias("titulo"),
         title_trim("brand").alias("marca"),
@@ -298,6 +300,7 @@ def external_catalog(raw: DataFrame) -> Checked:
         "_source",
         "_ingested_at",
     )
+    clean = evaluated_once(typed)
     sound = (F.col("precio") > 0) & _filled("titulo") & _filled("sku")
     return Checked.by(
         clean,

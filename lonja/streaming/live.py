@@ -27,16 +27,13 @@ FULL_INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 def parse_events(records: DataFrame, rules: ShopRules = DEFAULT_RULES) -> DataFrame:
     """Topic records (``value`` and, from Kafka, ``topic``, ``partition``, ``offset``) to typed events.
 
-    A broken value parses to NULL fields and is dropped with all records that lack an event id.
+    A broken value parses to NULL fields and is dropped with all records that lack an event id. The test sits inside
+    the generator, so that every value is parsed once; a filter above would parse it a second time.
     """
+    payload = F.from_json(F.col("value").cast("string"), schemas.EVENT)
+    with_id = F.filter(F.array(payload), lambda event: event["event_id"].isNotNull())
     origin = [F.col(name).alias(f"kafka_{name}") for name in ("topic", "partition", "offset") if name in records.columns]
-    payload = F.from_json(F.col("value").cast("string"), schemas.EVENT).alias("payload")
-    return (
-        records.select(payload, *origin)
-        .select("payload.*", *[f"kafka_{name}" for name in ("topic", "partition", "offset") if name in records.columns])
-        .withColumn("ts", event_instant("ts", rules.naive_zone))
-        .where(F.col("event_id").isNotNull())
-    )
+    return records.select(F.inline(with_id), *origin).withColumn("ts", event_instant("ts", rules.naive_zone))
 
 
 def activity(events: DataFrame) -> DataFrame:

@@ -50,6 +50,10 @@ class Shop:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    @cached_property
+    def stage(self) -> Stage:
+        return Stage(self.spark, "query")
+
     def raw(self, name: str) -> DataFrame:
         return getattr(shop, name)(self.spark, self.sf_dir)
 
@@ -136,11 +140,13 @@ class Shop:
 
     @cached_property
     def top(self) -> DataFrame:
-        return gold.top_products(self.sales, self.variants.accepted, self.products.accepted, RULES)
+        return gold.top_products(
+            self.sales, self.variants.accepted, self.products.accepted, RULES, keep=self.stage.keep
+        )
 
     @cached_property
     def attributes(self) -> DataFrame:
-        return gold.sales_by_attribute(self.sales, self.variants.accepted)
+        return gold.sales_by_attribute(self.sales, self.variants.accepted, keep=self.stage.keep)
 
     @cached_property
     def funnel(self) -> DataFrame:
@@ -156,11 +162,12 @@ class Shop:
 
     @cached_property
     def rates(self) -> DataFrame:
-        return gold.return_rate(self.order_view, self.returns.accepted, self.products.accepted, RULES)
+        view = self.stage.keep(self.order_view, "vista")
+        return gold.return_rate(view, self.returns.accepted, self.products.accepted, RULES)
 
     @cached_property
     def value(self) -> DataFrame:
-        return gold.customer_value(self.order_view, self.customers.accepted, RULES)
+        return gold.customer_value(self.order_view, self.customers.accepted, RULES, keep=self.stage.keep)
 
     @cached_property
     def benchmark(self) -> DataFrame:
@@ -226,7 +233,7 @@ def dedupe_earliest_event(s: Shop) -> DataFrame:
 
 def bronze_snapshot(s: Shop) -> DataFrame:
     """Two days written, the second one twice: the table holds each day once."""
-    path = Stage(s.spark, "query-bronze").at("pedidos")
+    path = s.stage.at("pedidos")
     snapshots = s.raw("pedidos")
     write_snapshot(snapshots, path)
     write_snapshot(snapshots.where(F.col("_ingest_date") == F.lit("2024-01-02").cast("date")), path)
@@ -247,8 +254,7 @@ def bronze_manifest(s: Shop) -> DataFrame:
 
 def src_csv_history(s: Shop) -> DataFrame:
     """Sales history written as CSV files, landed in Bronze and read back with the declared schema."""
-    stage = Stage(s.spark, "query-csv")
-    raw, landed = stage.at("raw"), stage.at("bronze")
+    raw, landed = s.stage.at("raw"), s.stage.at("bronze")
     keep_spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     s.raw("ventas_historicas").write.options(header=True, **keep_spaces).csv(raw)
     land_csv(s.spark, raw, landed, schemas.SALES_HISTORY)
@@ -260,8 +266,7 @@ def src_csv_history(s: Shop) -> DataFrame:
 
 def _replayed(s: Shop) -> Lake:
     """Runs the streaming job over the event lines until all are worked off; the lake holds what it wrote."""
-    stage = Stage(s.spark, "query-stream")
-    lines, lake = stage.at("lines"), Lake(stage.at("lake"))
+    lines, lake = s.stage.at("lines"), Lake(s.stage.at("lake"))
     s.raw("event_lines").write.text(lines)
     streaming.start(text_events(s.spark, lines), streaming.LiveSinks(lake, rules=RULES), every=None).awaitTermination()
     return lake
@@ -285,6 +290,15 @@ def stream_stock_alerts(s: Shop) -> DataFrame:
     return s.spark.read.parquet(_replayed(s).gold("gold_alertas")).drop("procesado_en", "corrida", "lote")
 
 
+# --- reports ------------------------------------------------------------------------------------------------------
+
+
+def report_kpis(s: Shop) -> DataFrame:
+    """Daily sales and best product come from the same sales, which are summed up once."""
+    s.sales = s.stage.keep(s.sales, "ventas")
+    return reports.kpis(s.daily, s.top, s.stock)
+
+
 # --- registry -----------------------------------------------------------------------------------------------------
 
 _QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
@@ -338,7 +352,7 @@ _QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "stream_bronze_copy": stream_bronze_copy,
     "stream_activity": stream_activity,
     "stream_stock_alerts": stream_stock_alerts,
-    "report_kpis": lambda s: reports.kpis(s.daily, s.top, s.stock),
+    "report_kpis": report_kpis,
     "report_range_summary": lambda s: reports.range_summary(s.daily, "1996-01-01", "1997-12-31"),
     "report_monthly_sales": lambda s: reports.monthly_sales(s.daily),
     "report_funnel_pct": lambda s: reports.funnel_percent(s.funnel),

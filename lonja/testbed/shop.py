@@ -25,6 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Spreads a table that comes in fewer pieces than there are cores. Never the case for a large one."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def _snapshots(rows: DataFrame, key: str, columns: list[str], source: str) -> DataFrame:
     """Both days of a table. ``columns`` may use ``k`` (the key), ``dia`` (the day) and the columns of ``rows``."""
     days = rows.withColumn("k", F.col(key)).withColumn("dia", F.explode(F.expr(_DAYS)))
@@ -36,6 +42,18 @@ def _snapshots(rows: DataFrame, key: str, columns: list[str], source: str) -> Da
     )
 
 
+def _as_read(rows: DataFrame, *columns) -> DataFrame:
+    """Computes generated columns once per row, as if they had been read from a file.
+
+    Without this the optimizer would merge the generating formulas into every filter that comes later.
+    """
+    return rows.select(F.inline(F.array(F.struct(*columns))))
+
+
+def _parsed(lines: DataFrame, schema: str) -> DataFrame:
+    return lines.select(F.inline(F.array(F.from_json("value", schema))))
+
+
 def clientes(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
@@ -174,8 +192,8 @@ _DATE_TEXT = """CASE WHEN l_suppkey % 50 = 0 THEN 'sin fecha' ELSE
 
 def ventas_historicas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales history as CSV text: four date styles and four price styles, with broken ones among them."""
-    lines = table(spark, sf_dir, "lineitem").withColumn("plain", F.expr("CAST(CAST(l_extendedprice AS DECIMAL(10, 2)) AS STRING)"))
-    return lines.selectExpr(
+    lines = _spread(table(spark, sf_dir, "lineitem")).withColumn("plain", F.expr("CAST(CAST(l_extendedprice AS DECIMAL(10, 2)) AS STRING)"))
+    texts = [
         f"{_DATE_TEXT} AS fecha",
         "concat('H-', l_orderkey) AS orden_ref",
         "IF(l_partkey % 113 = 0, ' ', concat(' sku-', l_partkey)) AS sku",
@@ -186,16 +204,18 @@ def ventas_historicas(spark: SparkSession, sf_dir: str) -> DataFrame:
             ELSE concat(plain, ' EUR') END AS precio_unitario""",
         "IF(l_linestatus = 'F', ' Web', 'APP') AS canal",
         "concat(' VILLA ', l_suppkey % 7) AS ciudad",
-    )
+    ]
+    return _as_read(lines, *map(F.expr, texts))
 
 
 def devoluciones_historicas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    returned = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
-    return returned.selectExpr(
+    returned = _spread(table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'"))
+    texts = [
         f"{_DATE_TEXT} AS fecha",
         "IF(l_partkey % 71 = 0, '  ', concat(' H-', l_orderkey, ' ')) AS orden_ref",
         f"{_REASON} AS motivo",
-    )
+    ]
+    return _as_read(returned, *map(F.expr, texts))
 
 
 def proveedores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,7 +230,7 @@ def proveedores(spark: SparkSession, sf_dir: str) -> DataFrame:
                 ELSE slice(array('formal', 'deportivo', 'sandalia'), 1, CAST(s_suppkey % 3 AS INT) + 1) END,
             'pais', concat(' ', n_name), 'plazo_entrega_dias', s_suppkey % 30)) AS value"""
     )
-    return as_json.select(F.from_json("value", schemas.SUPPLIERS).alias("p")).select("p.*")
+    return _parsed(as_json, schemas.SUPPLIERS)
 
 
 _KIND = """CASE event_type WHEN 'view' THEN ' Product_Viewed' WHEN 'click' THEN 'added_to_cart'
@@ -220,7 +240,7 @@ _KIND = """CASE event_type WHEN 'view' THEN ' Product_Viewed' WHEN 'click' THEN
 def event_lines(spark: SparkSession, sf_dir: str, again: int = 10) -> DataFrame:
     """Events as JSON lines in ``value``: every ``again``-th purchase is sent twice, some lines and fields are broken."""
     sent = (
-        table(spark, sf_dir, "events")
+        _spread(table(spark, sf_dir, "events"))
         .withColumn("p", F.expr("CAST(get_json_object(props, '$.k') AS BIGINT)"))
         .withColumn(
             "late",
@@ -247,7 +267,7 @@ def event_lines(spark: SparkSession, sf_dir: str, again: int = 10) -> DataFrame:
 
 
 def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_lines(spark, sf_dir).select(F.from_json("value", schemas.EVENT).alias("e")).select("e.*")
+    return _parsed(event_lines(spark, sf_dir), schemas.EVENT)
 
 
 def catalogo_api(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,7 +282,7 @@ def catalogo_api(spark: SparkSession, sf_dir: str) -> DataFrame:
             '_source', 'api:https://example.com', '_endpoint', '/products',
             '_ingested_at', '2024-01-02T00:00:00', '_ingest_date', '2024-01-02')) AS value"""
     )
-    return as_json.select(F.from_json("value", schemas.CATALOG).alias("c")).select("c.*")
+    return _parsed(as_json, schemas.CATALOG)
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
