@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 DAY_FIRST_PATTERN = r"^(\d{2})([/.\-])(\d{2})\2(\d{4})$"
 ZONE_PATTERN = r"\d{2}:\d{2}.*(?:Z|UTC|GMT|[+-]\d{2}:?\d{0,2})$"
 DATE_ONLY_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
+MINUTES_ONLY_PATTERN = r"[T ]\d{1,2}:\d{1,2}$"
 
 
 def day_from_text(col: str) -> Column:
@@ -23,9 +24,10 @@ def day_from_text(col: str) -> Column:
 def event_instant(col: str, naive_zone: str = "UTC") -> Column:
     """Instant from ISO text. Text with an offset keeps it, text without is read in ``naive_zone``."""
     text = F.trim(F.col(col))
-    midnight = F.when(text.rlike(DATE_ONLY_PATTERN), "T00:00:00").otherwise("")
+    # a zone may only follow full seconds
+    rest = F.when(text.rlike(MINUTES_ONLY_PATTERN), ":00").when(text.rlike(DATE_ONLY_PATTERN), "T00:00:00").otherwise("")
     zone = F.when(text.rlike(ZONE_PATTERN), "").otherwise(naive_zone)
-    return F.try_to_timestamp(F.concat(text, midnight, zone))
+    return F.try_to_timestamp(F.concat(text, rest, zone))
 
 
 def wall_clock(instant: Column, zone: str = "UTC") -> Column:

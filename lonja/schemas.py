@@ -1,5 +1,9 @@
 """Declared schemas of the raw inputs. Nothing is inferred, so a missing field is NULL and never an error."""
 
+from __future__ import annotations
+
+import re
+
 # Field names of the raw feeds.
 SALES_HISTORY = (
     "fecha STRING, orden_ref STRING, sku STRING, cantidad STRING, precio_unitario STRING, canal STRING, ciudad STRING"
@@ -32,7 +36,5 @@ RUN_LOG = (
 
 
 def field_names(ddl: str) -> list[str]:
-    """Column names of a flat DDL schema, in order."""
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(ddl).fieldNames()
+    """Column names of a flat schema, in order (commas inside ``<>`` belong to a type)."""
+    return [field.split()[0] for field in re.split(r",(?![^<]*>)", ddl)]

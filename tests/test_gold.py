@@ -1,0 +1,233 @@
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from lonja.operators import Stage
+from lonja.plans import gold, reports
+from lonja.rules import ShopRules
+
+VIEW = (
+    "pedido_id INT, cliente_id INT, fecha TIMESTAMP, estado STRING, estado_pago STRING, cantidad INT, "
+    "subtotal DECIMAL(18,4), producto_id INT, sku STRING"
+)
+SALES = "fecha DATE, sku STRING, unidades BIGINT, ingresos DECIMAL(18,4), fuente STRING"
+PRODUCTS = "id INT, nombre STRING, marca STRING, categoria STRING, precio DECIMAL(18,4)"
+VARIANTS = "variante_id INT, producto_id INT, talla STRING, color STRING, sku STRING"
+EVENTS = "event_id STRING, session_id STRING, event_type STRING, sku STRING, producto_id BIGINT, cantidad INT, ts TIMESTAMP"
+
+
+def values(df):
+    return {tuple(row) for row in df.collect()}
+
+
+@pytest.fixture
+def view(rows):
+    at = datetime(2024, 3, 2, 10)
+    return rows(
+        VIEW,
+        (1, 7, at, "entregado", "confirmado", 2, Decimal(10), 100, "A"),
+        (1, 7, at, "entregado", "confirmado", 1, Decimal(5), 100, "B"),
+        (2, 7, datetime(2024, 3, 3, 23), "confirmado", "confirmado", 1, Decimal(5), 101, None),
+        (3, 8, at, "enviado", "fallido", 4, Decimal(40), 100, "A"),
+        (4, 8, at, "pendiente", "confirmado", 4, Decimal(40), 102, "A"),
+        (5, 9, at, "enviado", "confirmado", 3, Decimal(15), 100, "A"),
+        (6, 9, at, "enviado", None, 1, Decimal(5), None, "A"),
+    )
+
+
+def test_unified_sales_and_daily_totals(rows, view):
+    history = rows("fecha DATE, sku STRING, cantidad INT, subtotal DECIMAL(18,4)", (date(2024, 3, 2), "A", 1, Decimal("1.5")))
+    sales = gold.unified_sales(view, history)
+    assert values(sales) == {
+        (date(2024, 3, 2), "A", 5, Decimal(25), "transaccional"),
+        (date(2024, 3, 2), "B", 1, Decimal(5), "transaccional"),
+        (date(2024, 3, 3), None, 1, Decimal(5), "transaccional"),
+        (date(2024, 3, 2), "A", 1, Decimal("1.5"), "historico"),
+    }
+    daily = gold.daily_sales(sales)
+    assert values(daily) == {
+        (date(2024, 3, 2), 2024, 3, 9, 7, True, 7, Decimal("31.5"), 2),
+        (date(2024, 3, 3), 2024, 3, 9, 1, True, 1, Decimal(5), 0),
+    }
+    assert daily.agg(F.sum("ingresos")).first()[0] == sales.agg(F.sum("ingresos")).first()[0]
+
+
+@pytest.fixture
+def products(rows):
+    return rows(PRODUCTS, (100, "Bota", "Nike", "formal", Decimal(50)), (101, "Tacón", "Zara", "formal", Decimal(20)))
+
+
+@pytest.fixture
+def variants(rows):
+    return rows(
+        VARIANTS, (1, 100, "36", "rojo", "A"), (2, 101, "36", "azul", "B"), (3, 999, "40", None, "C"), (4, 100, "41", "rojo", "D")
+    )
+
+
+@pytest.fixture
+def sales(rows):
+    day = date(2024, 3, 2)
+    return rows(
+        SALES,
+        (day, "A", 1, Decimal(10), "x"), (day, "A", 2, Decimal(20), "y"), (day, "B", 9, Decimal(30), "x"),
+        (day, "C", 1, Decimal(90), "x"), (day, "Z", 1, Decimal(5), "x"), (day, None, 1, Decimal(900), "x"),
+        (day, "", 1, Decimal(900), "x"),
+    )
+
+
+@pytest.mark.parametrize("kept", [True, False])
+def test_top_products(spark, sales, variants, products, kept):
+    with Stage(spark, "test") as stage:
+        options = {"keep": stage.keep} if kept else {}
+        top = gold.top_products(sales, variants, products, **options)
+        assert values(top) == {
+            ("A", 100, "Bota", "Nike", "formal", 3, Decimal(30), 2, 1),
+            ("B", 101, "Tacón", "Zara", "formal", 9, Decimal(30), 2, 1),
+            ("C", 999, "C", "—", "—", 1, Decimal(90), 1, 1),
+            ("Z", None, "Z", "—", "—", 1, Decimal(5), 4, 2),
+        }
+        best = reports.top_products(top, k=2, brands=["Nike", "Zara"])
+        assert [row.nombre for row in best.collect()] == ["Bota", "Tacón"]
+        by_category = {row.categoria: row.ingresos for row in reports.income_by_category(top).collect()}
+        assert by_category == {"formal": 60, "—": 95}
+
+
+def test_sales_by_attribute(sales, variants):
+    table = gold.sales_by_attribute(sales, variants)
+    assert values(table) == {
+        ("36", "talla", 12, Decimal(60), 1),
+        ("40", "talla", 1, Decimal(90), 2),
+        ("azul", "color", 9, Decimal(30), 1),
+        ("rojo", "color", 3, Decimal(30), 2),
+        (None, "color", 1, Decimal(90), 3),
+    }
+    assert {row.valor for row in reports.demand_by(table, "talla").collect()} == {"36", "40"}
+
+
+def sessions(kind, count):
+    return [(f"{kind}{i}", f"s{i}", kind, None, None, None, None) for i in range(count)]
+
+
+def test_funnel_over_the_first_stage(rows):
+    counts = {"product_viewed": 100, "added_to_cart": 40, "checkout_started": 20, "order_placed": 10, "stock_low": 5}
+    events = rows(EVENTS, *[event for kind, n in counts.items() for event in sessions(kind, n)])
+    funnel = gold.conversion_funnel(events).orderBy("orden").collect()
+    assert [(row.orden, row.sesiones, row.tasa_sobre_vistas) for row in funnel] == [(1, 100, 1.0), (2, 40, 0.4), (3, 20, 0.2), (4, 10, 0.1)]
+    assert funnel[1].etapa_nombre == "Añadidos al carrito"
+
+
+def test_funnel_with_empty_stages(rows):
+    only_orders = gold.conversion_funnel(rows(EVENTS, *sessions("order_placed", 3))).orderBy("orden").collect()
+    assert [(row.sesiones, row.eventos, row.tasa_sobre_vistas) for row in only_orders] == [(0, 0, 0.0)] * 3 + [(3, 3, None)]
+
+
+def test_abandoned_carts(rows, variants, products):
+    def event(i, session, kind, sku=None, quantity=None, hour=10):
+        return (f"e{i}", session, kind, sku, 100 if sku else None, quantity, datetime(2024, 5, 1, hour))
+
+    events = rows(
+        EVENTS,
+        event(1, "lost", "added_to_cart", "A", 2),
+        event(2, "lost", "added_to_cart", "A", None, hour=12),
+        event(3, "lost2", "added_to_cart", "A", 1),
+        event(4, "lost2", "added_to_cart", None),
+        event(5, "bought", "added_to_cart", "A", 5),
+        event(6, "bought", "order_placed", hour=9),
+        event(7, "seen", "product_viewed", "B"),
+    )
+    carts = gold.abandoned_carts(events, variants, products)
+    assert values(carts) == {
+        ("A", 100, "Bota", "Nike", "formal", "36", "rojo", 2, 4, datetime(2024, 5, 1, 12)),
+        (None, None, None, None, None, None, None, 1, 1, datetime(2024, 5, 1, 10)),
+    }
+    assert [row.sku for row in reports.abandoned_top(carts, 1).collect()] == ["A"]
+
+
+def test_critical_stock(rows, variants, products):
+    inventory = rows("variante_id INT, stock_disponible INT, bodega STRING", (1, 5, "X"), (2, 6, "X"), (3, 0, "X"), (9, 0, "X"))
+    stock = gold.critical_stock(inventory, variants, products)
+    found = {row.variante_id: row.valor_riesgo for row in stock.collect()}
+    # an unknown product has no price and thus no value at stake; an unknown variant is not listed
+    assert found == {1: Decimal(250), 3: None}
+    assert gold.critical_stock(inventory, variants, products, ShopRules(stock_threshold=0)).count() == 1
+
+
+def test_return_rate(rows, view, products):
+    extra = rows(VIEW, (1, 7, None, "entregado", "confirmado", 1, Decimal(1), 101, "Q"), (7, 7, None, "pendiente", None, 1, Decimal(1), 102, "W"))
+    returns = rows("pedido_id INT, motivo STRING", (1, "talla"), (3, "color"), (7, "color"), (99, "color"))
+    rates = {row.producto_id: row for row in gold.return_rate(view.unionByName(extra), returns, products).collect()}
+    assert set(rates) == {100, 101, 102}
+    both = rates[100]
+    assert (both.devoluciones, both.unidades_vendidas, both.pedidos_con_producto) == (2, 10, 3)
+    assert both.tasa_devolucion == 0.2 and both.motivo_mas_frecuente == "color"  # a tie goes to the first name
+    assert rates[101].devoluciones == 1  # every product of the returned order counts
+    assert rates[102].tasa_devolucion is None and rates[102].nombre == "—"
+
+
+def test_return_percent(rows):
+    rates = rows(
+        "producto_id INT, nombre STRING, unidades_vendidas BIGINT, devoluciones BIGINT, tasa_devolucion DOUBLE, "
+        "pedidos_con_producto BIGINT, motivo_mas_frecuente STRING",
+        (1, "a", 8, 1, 0.125, 4, "x"),
+        (2, "b", None, 1, None, None, "x"),
+    )
+    assert [(row.pct_devolucion, row.tasa_por_pedido) for row in reports.return_percent(rates).orderBy("producto_id").collect()] == [
+        (12.5, 0.25), (0.0, None),
+    ]
+
+
+@pytest.mark.parametrize("orders, segment", [(1, "ocasional"), (2, "recurrente"), (4, "recurrente"), (5, "frecuente")])
+def test_segments(rows, orders, segment):
+    buys = [(i, 7, datetime(2024, 1, 1), "enviado", "confirmado", 1, Decimal(2), 1, "A") for i in range(orders)]
+    customer = gold.customer_value(rows(VIEW, *buys), rows("id INT, nombre STRING, correo STRING, ciudad STRING", (1, "a", "b", "c")))
+    row = customer.first()
+    assert (row.segmento, row.pedidos, row.ticket_promedio, row.nombre) == (segment, orders, 2.0, None)
+
+
+def test_customer_value(rows, view):
+    known = rows("id INT, nombre STRING, correo STRING, ciudad STRING", (7, "Ana", "a@x.es", "León"))
+    value = gold.customer_value(view, known)
+    assert {(row.cliente_id, row.nombre, row.pedidos, row.gasto_total, row.ranking) for row in value.collect()} == {
+        (7, "Ana", 2, Decimal(20), 1),
+        (9, None, 1, Decimal(15), 2),
+    }
+    assert reports.segment_kpis(value, ["frecuente"]).first().asDict() == {"clientes": 0, "gasto_total": 0, "ticket_medio": 0.0}
+    assert [row.cliente_id for row in reports.top_customers(value, 1).collect()] == [7]
+
+
+def test_external_benchmark(rows):
+    schema = "categoria_origen STRING, categoria STRING, marca STRING, precio DECIMAL(18,4), rating DOUBLE, stock INT"
+    catalog = rows(
+        schema,
+        ("o", "c", "m", Decimal("1.00"), 4.0, 1), ("o", "c", "m", Decimal("1.01"), None, None),
+        ("o", "c", "n", Decimal("3.00"), None, 5),
+    )
+    benchmark = gold.external_catalog_benchmark(catalog)
+    assert {(row.marca, row.productos, float(row.precio_medio), row.rating_medio and float(row.rating_medio), row.stock_total) for row in benchmark.collect()} == {
+        ("m", 2, 1.01, 4.0, 1), ("n", 1, 3.0, None, 5),
+    }
+    kpis = reports.external_kpis(benchmark).first()
+    assert (kpis.productos, kpis.marcas, round(kpis.precio_medio, 4)) == (3, 2, round((1.01 * 2 + 3) / 3, 4))
+
+
+def test_range_report_of_an_empty_range(rows):
+    daily = rows("fecha DATE, ingresos DECIMAL(18,4), unidades_vendidas BIGINT", (date(2024, 1, 1), Decimal(5), 2))
+    empty = reports.range_summary(daily, "2030-01-01", "2030-12-31").first()
+    assert (empty.ingresos, empty.unidades_vendidas, empty.ticket_medio_dia) == (0, 0, 0.0)
+    full = reports.range_summary(daily, "2024-01-01", "2024-01-01").first()
+    assert (full.ingresos, full.ticket_medio_dia) == (5, 5.0)
+
+
+def test_no_plan_pairs_rows_without_a_key(spark, sales, variants, products, view, rows, plan):
+    returns = rows("pedido_id INT, motivo STRING", (1, "talla"))
+    known = rows("id INT, nombre STRING, correo STRING, ciudad STRING", (7, "Ana", "a@x.es", "León"))
+    for table in (
+        gold.top_products(sales, variants, products),
+        gold.sales_by_attribute(sales, variants),
+        gold.return_rate(view, returns, products),
+        gold.customer_value(view, known),
+    ):
+        text = plan(table)
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
