@@ -113,14 +113,14 @@ def run_silver(spark: SparkSession, lake: Lake, rules: ShopRules = DEFAULT_RULES
         lines = lines.with_marked(stage.keep(lines.marked, "detalle_pedido"))
         counts["rechazados/detalle_pedido"] = _counted_write(lines.rejected, lake.rejects("detalle_pedido"))
         paid = silver.payments(bronze("pagos"))
-        write("silver_pedido_detalle", silver.order_view(orders, lines.accepted, paid, variants))
+        write("silver_pedido_detalle", silver.order_view(orders, lines.accepted, paid, variants, stage.keep))
         split("silver_devoluciones", "devoluciones", silver.returns(bronze("devoluciones"), orders))
 
         sales = read_sales_history(spark, lake.bronze("historico_ventas"))
         split("silver_historico_ventas", "historico_ventas", silver.sales_history(sales))
         returned = read_returns_history(spark, lake.bronze("historico_devoluciones"))
         split("silver_historico_devoluciones", "historico_devoluciones", silver.returns_history(returned))
-        write("silver_proveedores", silver.suppliers(read_suppliers(spark, lake.bronze("proveedores"))))
+        write("silver_proveedores", silver.suppliers(read_suppliers(spark, lake.bronze("proveedores"), landed=True)))
         split("silver_eventos_navegacion", "eventos", silver.events(_event_folders(spark, lake), rules))
 
         catalog = read_if_present(read_catalog, spark, lake.bronze("api_catalogo"))

@@ -23,7 +23,7 @@ from ..functions import (
     upper_trim,
     whole_number,
 )
-from ..operators import Check, Checked, evaluated_once, keep_earliest, keep_latest
+from ..operators import Check, Checked, Keep, evaluated_once, keep_earliest, keep_latest, not_kept
 from ..rules import DEFAULT_RULES, MONEY, ShopRules
 
 
@@ -89,7 +89,7 @@ def products(bronze: DataFrame, rules: ShopRules = DEFAULT_RULES) -> Checked:
 
 
 def variants(bronze: DataFrame) -> Checked:
-    clean = _snapshot(bronze, ["id"], "producto_id", "talla", "color", "sku").select(
+    typed = _snapshot(bronze, ["id"], "producto_id", "talla", "color", "sku").select(
         "id",
         "producto_id",
         "talla",
@@ -97,6 +97,7 @@ def variants(bronze: DataFrame) -> Checked:
         lower_trim("color").alias("color"),
         upper_trim("sku").alias("sku"),
     )
+    clean = evaluated_once(typed)
     return Checked.by(
         clean,
         [Check("talla_invalida", F.col("talla_std").isNotNull() & _filled("sku"))],
@@ -163,16 +164,23 @@ def payments(bronze: DataFrame) -> DataFrame:
 
 
 def order_view(
-    valid_orders: DataFrame, valid_lines: DataFrame, paid: DataFrame, valid_variants: DataFrame
+    valid_orders: DataFrame,
+    valid_lines: DataFrame,
+    paid: DataFrame,
+    valid_variants: DataFrame,
+    keep: Keep = not_kept,
 ) -> DataFrame:
     """Orders, lines, payments and variants side by side: one row per order line.
 
-    Orders and payments arrive partitioned by order, so only the lines move for the first two joins. No side is forced
-    to be broadcast: Spark does it where the measured size allows, and splits skewed keys otherwise.
+    Orders and payments have one row per order and arrive partitioned by it, so they are put together first, without a
+    further shuffle. The lines then meet them in one join, and the variants in another. No side is forced to be
+    broadcast: Spark does it where the measured size allows. Where it does not, adaptive execution splits an order or
+    a variant with very many lines, for which both inputs of a join have to be plain shuffles of stored rows: ``keep``
+    stores the order heads.
     """
+    heads = keep(valid_orders.join(paid, "pedido_id", "left"), "cabeceras")
     return (
-        valid_lines.join(valid_orders, "pedido_id")
-        .join(paid, "pedido_id", "left")
+        valid_lines.join(heads, "pedido_id")
         .join(valid_variants, "variante_id", "left")
         .select(
             "variante_id",

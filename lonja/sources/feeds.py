@@ -29,9 +29,9 @@ def read_returns_history(spark: SparkSession, path: str) -> DataFrame:
     return _csv(spark, path, schemas.RETURNS_HISTORY)
 
 
-def read_suppliers(spark: SparkSession, path: str) -> DataFrame:
-    """Suppliers come as one JSON array per file."""
-    return spark.read.schema(schemas.SUPPLIERS).option("multiLine", True).json(path)
+def read_suppliers(spark: SparkSession, path: str, landed: bool = False) -> DataFrame:
+    """Suppliers come as one JSON array per file; the landed copy has one supplier per line."""
+    return spark.read.schema(schemas.SUPPLIERS).option("multiLine", not landed).json(path)
 
 
 def read_event_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

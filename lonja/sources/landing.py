@@ -59,7 +59,7 @@ def land_lines(spark: SparkSession, source: str, target: str) -> None:
 
 
 def land_json_array(spark: SparkSession, source: str, target: str) -> None:
-    """Supplier files (one JSON array each) to the lake as JSON, one folder per file."""
+    """Supplier files (one JSON array each) to the lake as JSON lines, one folder per file."""
     rows = _by_file(spark.read.schema(schemas.SUPPLIERS).option("multiLine", True).json(source))
     (
         rows.write.mode("overwrite")

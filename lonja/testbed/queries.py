@@ -109,7 +109,11 @@ class Shop:
     @cached_property
     def order_view(self) -> DataFrame:
         return silver.order_view(
-            self.orders.accepted, self.order_lines.accepted, silver.payments(self.raw("pagos")), self.variants.accepted
+            self.orders.accepted,
+            self.order_lines.accepted,
+            silver.payments(self.raw("pagos")),
+            self.stage.keep(self.variants.accepted, "variantes"),
+            self.stage.keep,
         )
 
     @property

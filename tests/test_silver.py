@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lonja import schemas
+from lonja.operators import Stage
 from lonja.plans import silver
 
 DAY1, DAY2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
@@ -222,3 +223,39 @@ def test_only_needed_columns_are_shuffled(rows, plan):
     ).repartition(2)
     shuffled = plan(silver.payments(bronze.where(F.col("monto") > 0))).split("hashpartitioning")[1]
     assert "extra" not in shuffled.split("Exchange RoundRobin")[0]
+
+
+def test_a_hot_order_and_a_hot_variant_are_split(spark, plan, tmp_path):
+    """A third of all lines in one order, and a third of one variant: adaptive execution cuts them into pieces."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        n = 30_000
+        numbers = spark.range(n).repartition(8)
+        lines = numbers.select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("pedido_id"),
+            F.when(F.col("id") % 3 == 1, 1).otherwise(F.col("id")).alias("variante_id"),
+            F.lit(1).alias("cantidad"),
+            F.lit(2).cast("decimal(18,4)").alias("precio"),
+            F.lit(2).cast("decimal(18,4)").alias("subtotal"),
+        )
+        orders = numbers.selectExpr("id AS pedido_id", "id AS cliente_id", "current_date() AS fecha", "'enviado' AS estado", "1 AS total")
+        paid = numbers.selectExpr("id AS pedido_id", "'t' AS metodo_pago", "'confirmado' AS estado_pago", "1 AS monto")
+        variants = numbers.selectExpr("id AS variante_id", "id AS producto_id", "'36' AS talla", "'rojo' AS color", "'s' AS sku")
+        with Stage(spark, "test") as stage:
+            kept = {name: stage.keep(df, name) for name, df in (("l", lines), ("o", orders), ("p", paid), ("v", variants))}
+            view = silver.order_view(kept["o"], kept["l"], kept["p"], kept["v"], stage.keep)
+            assert len(view.collect()) == n
+            final = plan(view)
+            assert final.count("SortMergeJoin(skew=true)") >= 2, final
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
