@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,12 +25,14 @@ def kpis(daily: DataFrame, top: DataFrame, stock: DataFrame) -> DataFrame:
     ).select("*", best.scalar().alias("producto_estrella"), critical.scalar().alias("stock_critico"))
 
 
-def date_range(daily: DataFrame, first: str, last: str) -> DataFrame:
-    """Days from ``first`` to ``last``, both included."""
-    return daily.where(F.col("fecha").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+def date_range(daily: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Days from ``first`` to ``last``, both included; without a limit, all of them."""
+    if first is not None:
+        daily = daily.where(F.col("fecha") >= F.lit(first).cast("date"))
+    return daily if last is None else daily.where(F.col("fecha") <= F.lit(last).cast("date"))
 
 
-def range_summary(daily: DataFrame, first: str, last: str) -> DataFrame:
+def range_summary(daily: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
     """Income, units and income per day with sales inside a date range."""
     days = F.greatest(F.count(F.lit(1)), F.lit(1))
     return date_range(daily, first, last).agg(
@@ -76,7 +78,7 @@ def income_by_category(top: DataFrame, brands: Sequence[str] | None = None) -> D
     return _chosen(top, "marca", brands).groupBy("categoria").agg(F.sum("ingresos").alias("ingresos"))
 
 
-def demand_by(attributes: DataFrame, kind: str) -> DataFrame:
+def demand_by(attributes: DataFrame, kind: str = "talla") -> DataFrame:
     """Demand by ``talla`` or by ``color``."""
     return attributes.where(F.col("tipo") == kind).select("valor", "unidades", "ingresos", "ranking")
 
@@ -175,6 +177,29 @@ def run_history(runs: DataFrame, k: int = 8, kept: int = 50) -> DataFrame:
     )
 
 
+# Every report with the tables it reads; ``runs`` is the run log, the others are Gold tables.
+REPORTS: Mapping[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
+    "kpis": (kpis, ("gold_ventas_diarias", "gold_top_productos", "gold_stock_critico")),
+    "range_summary": (range_summary, ("gold_ventas_diarias",)),
+    "monthly_sales": (monthly_sales, ("gold_ventas_diarias",)),
+    "funnel_percent": (funnel_percent, ("gold_embudo_conversion",)),
+    "top_products": (top_products, ("gold_top_productos",)),
+    "income_by_category": (income_by_category, ("gold_top_productos",)),
+    "demand_by": (demand_by, ("gold_ventas_por_talla",)),
+    "return_percent": (return_percent, ("gold_tasa_devolucion",)),
+    "segment_kpis": (segment_kpis, ("gold_clientes_valor",)),
+    "spend_by_segment": (spend_by_segment, ("gold_clientes_valor",)),
+    "top_customers": (top_customers, ("gold_clientes_valor",)),
+    "abandoned_top": (abandoned_top, ("gold_carritos_abandonados",)),
+    "stream_kpis": (stream_kpis, ("gold_actividad_stream", "gold_alertas")),
+    "activity_by_events": (activity_by_events, ("gold_actividad_stream",)),
+    "latest_alerts": (latest_alerts, ("gold_alertas",)),
+    "external_kpis": (external_kpis, ("gold_catalogo_externo",)),
+    "external_price_by_brand": (external_price_by_brand, ("gold_catalogo_externo",)),
+    "run_history": (run_history, ("runs",)),
+}
+
+
 def write_csv(rows: DataFrame, path: str) -> None:
     """Any report as CSV with a header."""
     rows.write.mode("overwrite").option("header", True).csv(path)

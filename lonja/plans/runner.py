@@ -24,7 +24,7 @@ from ..sources.feeds import (
 )
 from ..sources.lake import Lake, read_if_present, read_snapshots, read_table
 from ..sources.landing import land_csv, land_json_array, land_lines
-from . import gold, silver
+from . import gold, reports, silver
 
 log = logging.getLogger(__name__)
 
@@ -199,6 +199,24 @@ def run_gold(spark: SparkSession, lake: Lake, rules: ShopRules = DEFAULT_RULES)
     return counts
 
 
+LIVE_TABLES = {"gold_actividad_stream": schemas.ACTIVITY, "gold_alertas": schemas.ALERTS}
+
+
+def _report_input(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
+    if table == "runs":
+        return read_runs(spark, lake)
+    if table in LIVE_TABLES:
+        written = read_if_present(spark.read.schema(LIVE_TABLES[table]).parquet, lake.gold(table))
+        return spark.createDataFrame([], LIVE_TABLES[table]) if written is None else written
+    return read_table(spark, lake.gold(table), "run the Gold step first")
+
+
+def report(spark: SparkSession, lake: Lake, name: str, **options) -> DataFrame:
+    """A report of ``reports.REPORTS`` over the tables in the lake. A stream that wrote nothing yet counts as empty."""
+    build, tables = reports.REPORTS[name]
+    return build(*[_report_input(spark, lake, table) for table in tables], **options)
+
+
 # --- the run and its record --------------------------------------------------------------------------------------
 
 

@@ -29,6 +29,17 @@ CATALOG = (
     "_categoria_api STRING, _source STRING, _endpoint STRING, _ingested_at STRING, _ingest_date STRING"
 )
 
+# What the stream writes; either table may not exist yet.
+ACTIVITY = (
+    "event_type STRING, eventos BIGINT, sesiones BIGINT, primero_ts TIMESTAMP, ultimo_ts TIMESTAMP, "
+    "procesado_en TIMESTAMP, corrida STRING, lote BIGINT"
+)
+
+ALERTS = (
+    "ts TIMESTAMP, sku STRING, producto_id BIGINT, variante_id BIGINT, stock_actual INT, umbral INT, severidad STRING, "
+    "procesado_en TIMESTAMP, corrida STRING, lote BIGINT"
+)
+
 RUN_LOG = (
     "inicio TIMESTAMP_NTZ, fin TIMESTAMP_NTZ, duracion_s DOUBLE, estado STRING, bronze MAP<STRING, BIGINT>, "
     "silver MAP<STRING, BIGINT>, gold MAP<STRING, BIGINT>, error STRING"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lonja import schemas
 from lonja.plans import reports, runner
 from lonja.rules import ShopRules
+from lonja.settings import Settings
 from lonja.sources import Database, Lake, MissingTable, Split, file_manifest, stamped, text_events, write_snapshot
 from lonja.sources.feeds import read_suppliers
 from lonja.sources.lake import read_snapshots, read_table
@@ -148,7 +149,15 @@ def test_whole_run(spark, database, raw, tmp_path):
     assert runner.run_silver(spark, lake)["silver_catalogo_externo"] == 1
     assert runner.run_gold(spark, lake)["gold_catalogo_externo"] == 1
 
-    history = reports.run_history(runner.read_runs(spark, lake)).collect()
+    for name in reports.REPORTS:
+        assert runner.report(spark, lake, name).columns
+    kpis = runner.report(spark, lake, "kpis").first()
+    assert (kpis.ingresos, kpis.dias_con_ventas, kpis.producto_estrella, kpis.stock_critico) == (Decimal(28), 2, "Bota", 1)
+    assert runner.report(spark, lake, "range_summary", last="2023-12-31").first().ingresos == Decimal(3)
+    assert [row.eventos for row in runner.report(spark, lake, "activity_by_events").collect()] == [2]
+    assert runner.report(spark, lake, "stream_kpis").first().asDict() == {"eventos": 2, "alertas": 0, "agotados": 0}
+
+    history = runner.report(spark, lake, "run_history").collect()
     assert [row.estado for row in history] == ["ok", "ok"] and history[0].filas_bronze == 14
     assert history[0].errores == 0 and history[0].filas_gold == sum(again["gold"].values())
 
@@ -172,6 +181,15 @@ def test_csv_export(spark, rows, tmp_path):
     assert sorted(tuple(row) for row in spark.read.csv(path, header=True).fillna("").collect()) == [("1", "x,y"), ("2", "")]
 
 
+def test_settings_come_from_the_environment(monkeypatch):
+    monkeypatch.setenv("LAKE_ROOT", "s3a://bucket/lake")
+    monkeypatch.setenv("STOCK_UMBRAL", "3")
+    settings = Settings.from_environment()
+    assert settings.lake.gold("x") == "s3a://bucket/lake/gold/x" and settings.rules.stock_threshold == 3
+    assert settings.database.url == "jdbc:postgresql://postgres:5432/tienda"
+    assert settings.topic == {"subscribe": "eventos-web", "startingOffsets": "latest"}
+
+
 def test_rules_are_data():
     rules = ShopRules(stock_threshold=1)
     assert rules.critical_stock == 1 and ShopRules().critical_stock == 2
