@@ -2,7 +2,7 @@
 
 from .keep_one import keep_earliest, keep_latest
 from .quality import Check, Checked, evaluated_once, reject_summary
-from .ranking import number_rows, rank_within
+from .ranking import number_rows, rank_within, ranks_within
 from .staging import Keep, Stage, not_kept, shared_folder
 
 __all__ = [
@@ -16,6 +16,7 @@ __all__ = [
     "not_kept",
     "number_rows",
     "rank_within",
+    "ranks_within",
     "reject_summary",
     "shared_folder",
 ]

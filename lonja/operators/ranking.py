@@ -8,7 +8,7 @@ range the position is a normal window; the number of rows in the ranges before i
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,25 +60,32 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.alias("_l").join(renamed.alias("_r"), match, how).drop(*[f"_r_{name}" for name in keys])
 
 
-def rank_within(rows: DataFrame, value: str, name: str, by: Sequence[str] = ()) -> DataFrame:
-    """``rank()`` by ``value`` descending inside the groups ``by`` (none = the whole table).
+def ranks_within(rows: DataFrame, value: str, ranks: Mapping[str, Sequence[str]]) -> DataFrame:
+    """``rank()`` by ``value`` descending, once per entry of ``ranks``: column name to grouping columns (none = all rows).
 
     Works on the distinct values with their counts: equal values collapse before any shuffle, and the join that brings
-    the rank back has one row per value on one side, so a value shared by many rows can be split by adaptive execution.
+    the ranks back has one row per value on one side, so a value shared by many rows can be split by adaptive execution.
+    The ranges are cut over all groups together, so one shuffle by range serves every rank.
     """
-    by = list(by)
-    counted = (
-        rows.groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias(_ROWS))
-        .withColumn(_KEY, _descending(value))
-    )
+    groups = sorted({name for by in ranks.values() for name in by})
+    counted = rows.groupBy(*groups, value).agg(F.count(F.lit(1)).alias(_ROWS)).withColumn(_KEY, _descending(value))
     ranged = _with_range(counted, _range_count(rows))
-    inside = Window.partitionBy(*by, _RANGE).orderBy(_KEY).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_rank_local", F.coalesce(F.sum(_ROWS).over(inside), F.lit(0)))
-    ranked = _join_null_safe(local, _rows_before(ranged, by), [*by, _RANGE]).select(
-        *by, value, (F.col("_rank_local") + F.col(_BEFORE) + 1).cast("int").alias(name)
-    )
-    return _join_null_safe(rows, ranked, [*by, value], "left")
+    ranked = ranged
+    for name, by in sorted(ranks.items(), key=lambda rank: len(rank[1])):
+        up_to = Window.partitionBy(*by, _RANGE).orderBy(_KEY).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        equal = Window.partitionBy(*by, _RANGE, _KEY)
+        ranked = ranked.withColumn(name, F.sum(_ROWS).over(up_to) - F.sum(_ROWS).over(equal) + 1)
+    for name, by in ranks.items():
+        ranked = _join_null_safe(ranked, _rows_before(ranged, by), [*by, _RANGE]).withColumn(
+            name, (F.col(name) + F.col(_BEFORE)).cast("int")
+        )
+        ranked = ranked.drop(_BEFORE)
+    return _join_null_safe(rows, ranked.select(*groups, value, *ranks), [*groups, value], "left")
+
+
+def rank_within(rows: DataFrame, value: str, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """``rank()`` by ``value`` descending inside the groups ``by`` (none = the whole table)."""
+    return ranks_within(rows, value, {name: by})
 
 
 def number_rows(rows: DataFrame, value: str, unique: Sequence[str], name: str) -> DataFrame:

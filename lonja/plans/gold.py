@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar_columns
-from ..operators import Keep, not_kept, number_rows, rank_within
+from ..operators import Keep, not_kept, number_rows, rank_within, ranks_within
 from ..rules import DEFAULT_RULES, ShopRules
 
 
@@ -74,9 +74,8 @@ def top_products(
         .join(_product_labels(products), "producto_id", "left")
     )
     by_sku = keep(by_sku, "ventas_por_sku")
-    ranked = rank_within(by_sku, "ingresos", "ranking_global")
     # ranked before the label for a missing category is filled in: no category is a group of its own
-    ranked = rank_within(ranked, "ingresos", "ranking_categoria", by=["categoria"])
+    ranked = ranks_within(by_sku, "ingresos", {"ranking_global": [], "ranking_categoria": ["categoria"]})
     return ranked.select(
         "sku",
         "producto_id",

@@ -13,6 +13,7 @@ from lonja.operators import (
     keep_latest,
     number_rows,
     rank_within,
+    ranks_within,
     reject_summary,
     shared_folder,
 )
@@ -96,6 +97,14 @@ def test_rank_inside_groups(rows, skewed):
     assert len(ranked) == len(skewed)
 
 
+def test_both_ranks_at_once(rows, skewed):
+    ranked = ranks_within(rows("i INT, v INT, g STRING", *skewed), "v", {"here": ["g"], "all": []}).collect()
+    here, everywhere = brute_rank(skewed, group=lambda row: row[2]), brute_rank(skewed)
+    assert {row.i: (row.here, row["all"]) for row in ranked} == {
+        row[0]: ranks for row, *ranks in zip(skewed, zip(here, everywhere)) for ranks in ranks
+    }
+
+
 def test_numbering_is_a_permutation_in_order(rows, skewed):
     numbered = number_rows(rows("i INT, v INT, g STRING", *skewed), "v", ["i"], "r").collect()
     expected = sorted(skewed, key=lambda row: (row[1] is None, -(row[1] or 0), row[0]))
