@@ -26,6 +26,7 @@ def main(arguments: list[str] | None = None) -> int:
     def ingest():
         counts = runner.ingest_database(spark, settings.database, lake)
         runner.ingest_files(spark, settings["RAW_ROOT"], lake)
+        runner.ingest_catalog(spark, f"{settings['RAW_ROOT']}/api_catalogo", lake, settings["API_BASE_URL"])
         return counts
 
     if chosen.step == "bronze":

@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ from ..sources.feeds import (
     read_suppliers,
 )
 from ..sources.lake import Lake, read_if_present, read_snapshots, read_table
-from ..sources.landing import land_csv, land_json_array, land_lines
+from ..sources.landing import file_listing, land_catalog, land_csv, land_json_array, land_lines
 from . import gold, reports, silver
 
 log = logging.getLogger(__name__)
@@ -62,15 +63,30 @@ def ingest_database(spark: SparkSession, database: Database, lake: Lake, at: dat
     return counts
 
 
-def ingest_files(spark: SparkSession, raw: str, lake: Lake) -> None:
-    """The raw file families to Bronze in their own formats."""
+def ingest_files(spark: SparkSession, raw: str, lake: Lake, at: datetime | None = None) -> None:
+    """The raw file families to Bronze in their own formats, and a manifest of the files."""
     raw = raw.rstrip("/")
-    land_csv(spark, f"{raw}/historico_ventas", lake.bronze("historico_ventas"), schemas.SALES_HISTORY)
-    land_csv(
-        spark, f"{raw}/devoluciones_historicas.csv", lake.bronze("historico_devoluciones"), schemas.RETURNS_HISTORY
-    )
-    land_json_array(spark, f"{raw}/proveedores.json", lake.bronze("proveedores"))
-    land_lines(spark, f"{raw}/eventos_web", lake.bronze("eventos_web", "historico"))
+    families = [f"{raw}/{name}" for name in ("historico_ventas", "devoluciones_historicas.csv", "proveedores.json", "eventos_web")]
+    sales, returned, makers, events = families
+    try:
+        listing = file_listing(spark, families)
+    except AnalysisException as problem:
+        raise MissingTable(f"raw files are missing below {raw}: {problem.getMessage()}") from problem
+    land_csv(spark, sales, lake.bronze("historico_ventas"), schemas.SALES_HISTORY)
+    land_csv(spark, returned, lake.bronze("historico_devoluciones"), schemas.RETURNS_HISTORY)
+    land_json_array(spark, makers, lake.bronze("proveedores"))
+    land_lines(spark, events, lake.bronze("eventos_web", "historico"))
+    stamped(listing, "raw", at).write.mode("overwrite").parquet(lake.bronze("_manifiesto"))
+
+
+def ingest_catalog(spark: SparkSession, source: str, lake: Lake, provider: str, at: datetime | None = None) -> bool:
+    """The external catalogue, if its files are there. The run goes on without it."""
+    try:
+        land_catalog(spark, source, lake.bronze("api_catalogo"), provider, at)
+    except AnalysisException as problem:
+        log.warning("external catalogue not ingested: %s", problem.getMessage())
+        return False
+    return True
 
 
 # --- Silver ------------------------------------------------------------------------------------------------------

@@ -23,6 +23,7 @@ DEFAULTS = {
     "KAFKA_BOOTSTRAP_SERVERS": "kafka:9092",
     "KAFKA_TOPIC": "eventos-web",
     "KAFKA_STARTING_OFFSETS": "latest",
+    "API_BASE_URL": "",
     "STREAM_TRIGGER": "10 seconds",
     "STOCK_UMBRAL": "5",
     "TZ": "Europe/Madrid",

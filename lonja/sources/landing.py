@@ -70,6 +70,36 @@ def land_json_array(spark: SparkSession, source: str, target: str) -> None:
     )
 
 
+def land_catalog(spark: SparkSession, source: str, target: str, provider: str, at: datetime | None = None) -> None:
+    """Catalogue files of an external provider (JSON lines, one file per category) to the lake, tagged with their origin.
+
+    Each run replaces the one before. The category is the name of the file without its ending.
+    """
+    category = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+    provided = [name for name in schemas.field_names(schemas.CATALOG) if not name.startswith("_")]
+    tagged = spark.read.schema(schemas.CATALOG).json(source).select(
+        *provided,
+        category.alias("_categoria_api"),
+        F.concat(F.lit("/products/category/"), category).alias("_endpoint"),
+    )
+    stamps = stamped(tagged, f"api:{provider}", at).withColumns(
+        {
+            "_ingested_at": F.date_format("_ingested_at", "yyyy-MM-dd'T'HH:mm:ss"),
+            "_ingest_date": F.col("_ingest_date").cast("string"),
+        }
+    )
+    stamps.write.mode("overwrite").json(target)
+
+
+def file_listing(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Name, size and time of raw files. Only the listing is read, never their content."""
+    return (
+        spark.read.format("binaryFile")
+        .load(paths)
+        .select(F.col("path").alias("archivo"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modificado"))
+    )
+
+
 def file_manifest(rows: DataFrame) -> DataFrame:
     """What was read: one row per input file of a file-based table, with its size, time and number of records."""
     return rows.groupBy(

@@ -143,11 +143,17 @@ def test_whole_run(spark, database, raw, tmp_path):
     assert again["silver"]["silver_pedidos"] == 2 and again["silver"]["silver_historico_ventas"] == 2
 
     # the external catalogue arrives
-    (tmp_path / "lake" / "bronze" / "api_catalogo").mkdir()
-    item = {"id": 1, "title": "Z", "brand": "b", "category": "c", "price": 5.5, "sku": "x", "_categoria_api": "mens-shoes"}
-    (tmp_path / "lake" / "bronze" / "api_catalogo" / "mens-shoes.jsonl").write_text(json.dumps(item))
+    assert not runner.ingest_catalog(spark, f"{raw}/api_catalogo", lake, "https://example.com")
+    (tmp_path / "raw" / "api_catalogo").mkdir()
+    item = {"id": 1, "title": "Z", "brand": "b", "category": "c", "price": 5.5, "sku": "x"}
+    (tmp_path / "raw" / "api_catalogo" / "mens-shoes.jsonl").write_text(json.dumps(item))
+    for at in (DAY1, DAY2):
+        assert runner.ingest_catalog(spark, f"{raw}/api_catalogo", lake, "https://example.com", at)
     assert runner.run_silver(spark, lake)["silver_catalogo_externo"] == 1
+    landed = spark.read.parquet(lake.silver("silver_catalogo_externo")).first()
+    assert (landed.categoria_origen, landed._source, landed._ingested_at) == ("mens-shoes", "api:https://example.com", "2024-01-02T08:00:00")
     assert runner.run_gold(spark, lake)["gold_catalogo_externo"] == 1
+    assert spark.read.parquet(lake.bronze("_manifiesto")).count() == 5
 
     for name in reports.REPORTS:
         assert runner.report(spark, lake, name).columns
@@ -162,6 +168,11 @@ def test_whole_run(spark, database, raw, tmp_path):
     assert history[0].errores == 0 and history[0].filas_gold == sum(again["gold"].values())
 
 
+def test_missing_raw_files_are_named(spark, tmp_path):
+    with pytest.raises(MissingTable, match="raw files are missing"):
+        runner.ingest_files(spark, str(tmp_path / "raw"), Lake(str(tmp_path / "lake")))
+
+
 def test_a_failed_run_is_recorded(spark, tmp_path):
     lake = Lake(str(tmp_path / "lake"))
     with pytest.raises(MissingTable):
