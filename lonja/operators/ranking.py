@@ -60,27 +60,39 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.alias("_l").join(renamed.alias("_r"), match, how).drop(*[f"_r_{name}" for name in keys])
 
 
+def _ranked(ranged: DataFrame, value: str, name: str, by: Sequence[str]) -> DataFrame:
+    """Ranks of counted values that are unique per group ``by``: rows before in the range and in earlier ranges."""
+    inside = Window.partitionBy(*by, _RANGE).orderBy(_KEY).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_rank_local", F.coalesce(F.sum(_ROWS).over(inside), F.lit(0)))
+    return _join_null_safe(local, _rows_before(ranged, by), [*by, _RANGE]).select(
+        *by, value, (F.col("_rank_local") + F.col(_BEFORE) + 1).cast("int").alias(name)
+    )
+
+
 def ranks_within(rows: DataFrame, value: str, ranks: Mapping[str, Sequence[str]]) -> DataFrame:
     """``rank()`` by ``value`` descending, once per entry of ``ranks``: column name to grouping columns (none = all rows).
 
     Works on the distinct values with their counts: equal values collapse before any shuffle, and the join that brings
     the ranks back has one row per value on one side, so a value shared by many rows can be split by adaptive execution.
-    The ranges are cut over all groups together, so one shuffle by range serves every rank.
+    The rows are counted and the ranges are cut once for all ranks. A rank over wider groups counts the values again,
+    since one value may occur in very many of the narrower groups.
     """
     groups = sorted({name for by in ranks.values() for name in by})
     counted = rows.groupBy(*groups, value).agg(F.count(F.lit(1)).alias(_ROWS)).withColumn(_KEY, _descending(value))
     ranged = _with_range(counted, _range_count(rows))
-    ranked = ranged
-    for name, by in sorted(ranks.items(), key=lambda rank: len(rank[1])):
-        up_to = Window.partitionBy(*by, _RANGE).orderBy(_KEY).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        equal = Window.partitionBy(*by, _RANGE, _KEY)
-        ranked = ranked.withColumn(name, F.sum(_ROWS).over(up_to) - F.sum(_ROWS).over(equal) + 1)
-    for name, by in ranks.items():
-        ranked = _join_null_safe(ranked, _rows_before(ranged, by), [*by, _RANGE]).withColumn(
-            name, (F.col(name) + F.col(_BEFORE)).cast("int")
-        )
-        ranked = ranked.drop(_BEFORE)
-    return _join_null_safe(rows, ranked.select(*groups, value, *ranks), [*groups, value], "left")
+    found = None
+    # the narrowest groups first: their ranks cover every group and value already
+    for name, by in sorted(ranks.items(), key=lambda rank: -len(rank[1])):
+        if set(by) == set(groups):
+            values = ranged
+        else:
+            values = ranged.groupBy(*by, value, _KEY, _RANGE).agg(F.sum(_ROWS).alias(_ROWS))
+        ranked = _ranked(values, value, name, by)
+        if found is None:
+            found = ranked if values is ranged else _join_null_safe(ranged.select(*groups, value), ranked, [*by, value])
+        else:
+            found = _join_null_safe(found, ranked, [*by, value])
+    return _join_null_safe(rows, found, [*groups, value], "left")
 
 
 def rank_within(rows: DataFrame, value: str, name: str, by: Sequence[str] = ()) -> DataFrame:

@@ -210,11 +210,19 @@ def critical_stock(
 
 
 def return_rate(
-    order_view: DataFrame, returns: DataFrame, products: DataFrame, rules: ShopRules = DEFAULT_RULES
+    order_view: DataFrame,
+    returns: DataFrame,
+    products: DataFrame,
+    rules: ShopRules = DEFAULT_RULES,
+    keep: Keep = not_kept,
 ) -> DataFrame:
-    """Returned orders per unit sold, and the most frequent reason. A return counts for every product of its order."""
+    """Returned orders per unit sold, and the most frequent reason. A return counts for every product of its order.
+
+    The order view is read twice: pass ``keep`` where it is not a stored table.
+    """
+    lines = keep(order_view.select("pedido_id", "producto_id", "estado", "cantidad"), "lineas_vendidas")
     sold = (
-        order_view.where(_sold(rules))
+        lines.where(_sold(rules))
         .groupBy("producto_id")
         .agg(
             F.count_distinct("pedido_id").alias("pedidos_con_producto"),
@@ -222,7 +230,7 @@ def return_rate(
         )
     )
     by_reason = (
-        order_view.select("pedido_id", "producto_id")
+        lines.select("pedido_id", "producto_id")
         .join(returns.select("pedido_id", "motivo"), "pedido_id")
         .groupBy("producto_id", "motivo")
         .agg(F.count_distinct("pedido_id").alias("veces"))

@@ -166,8 +166,9 @@ class Shop:
 
     @cached_property
     def rates(self) -> DataFrame:
-        view = self.stage.keep(self.order_view, "vista")
-        return gold.return_rate(view, self.returns.accepted, self.products.accepted, RULES)
+        return gold.return_rate(
+            self.order_view, self.returns.accepted, self.products.accepted, RULES, keep=self.stage.keep
+        )
 
     @cached_property
     def value(self) -> DataFrame:

@@ -140,7 +140,7 @@ def pedidos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def detalle_pedido(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines. The table itself repeats (order, part): the line shipped last is the last version."""
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    return _spread(table(spark, sf_dir, "lineitem")).selectExpr(
         "l_orderkey AS pedido_id",
         "l_partkey AS variante_id",
         "CAST(IF(l_linenumber = 7 AND l_suppkey % 10 = 0, 0, l_quantity) AS INT) AS cantidad",
@@ -185,9 +185,11 @@ def devoluciones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_DATE_TEXT = """CASE WHEN l_suppkey % 50 = 0 THEN 'sin fecha' ELSE
-    date_format(l_shipdate, element_at(array('yyyy-MM-dd', 'dd/MM/yyyy', 'dd-MM-yyyy', 'dd.MM.yyyy'), l_linenumber % 4 + 1))
-    END"""
+_DATE_TEXT = """CASE WHEN l_suppkey % 50 = 0 THEN 'sin fecha'
+    WHEN l_linenumber % 4 = 0 THEN date_format(l_shipdate, 'yyyy-MM-dd')
+    WHEN l_linenumber % 4 = 1 THEN date_format(l_shipdate, 'dd/MM/yyyy')
+    WHEN l_linenumber % 4 = 2 THEN date_format(l_shipdate, 'dd-MM-yyyy')
+    ELSE date_format(l_shipdate, 'dd.MM.yyyy') END"""
 
 
 def ventas_historicas(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,7 +98,13 @@ def test_rank_inside_groups(rows, skewed):
 
 
 def test_both_ranks_at_once(rows, skewed):
-    ranked = ranks_within(rows("i INT, v INT, g STRING", *skewed), "v", {"here": ["g"], "all": []}).collect()
+    table = rows("i INT, v INT, g STRING", *skewed)
+    by_id = {row.i: row.r for row in ranks_within(table, "v", {"r": ["i"], "s": ["g"]}).collect()}
+    assert set(by_id.values()) == {1}
+    apart = ranks_within(table.withColumn("h", F.col("i") % 2), "v", {"here": ["g"], "half": ["h"]}).collect()
+    halves = brute_rank(skewed, group=lambda row: row[0] % 2)
+    assert {row.i: row.half for row in apart} == {row[0]: rank for row, rank in zip(skewed, halves)}
+    ranked = ranks_within(table, "v", {"all": [], "here": ["g"]}).collect()
     here, everywhere = brute_rank(skewed, group=lambda row: row[2]), brute_rank(skewed)
     assert {row.i: (row.here, row["all"]) for row in ranked} == {
         row[0]: ranks for row, *ranks in zip(skewed, zip(here, everywhere)) for ranks in ranks
