@@ -17,8 +17,8 @@ DEFAULTS = {
     "RAW_ROOT": "/data/raw",
     "DB_HOST": "postgres",
     "DB_PORT": "5432",
-    "DB_NAME": "tienda",
-    "DB_USER": "tienda",
+    "DB_NAME": "shop",
+    "DB_USER": "shop",
     "DB_PASSWORD": "",
     "KAFKA_BOOTSTRAP_SERVERS": "kafka:9092",
     "KAFKA_TOPIC": "eventos-web",

@@ -197,7 +197,7 @@ def test_settings_come_from_the_environment(monkeypatch):
     monkeypatch.setenv("STOCK_UMBRAL", "3")
     settings = Settings.from_environment()
     assert settings.lake.gold("x") == "s3a://bucket/lake/gold/x" and settings.rules.stock_threshold == 3
-    assert settings.database.url == "jdbc:postgresql://postgres:5432/tienda"
+    assert settings.database.url == "jdbc:postgresql://postgres:5432/shop"
     assert settings.topic == {"subscribe": "eventos-web", "startingOffsets": "latest"}
 
 
