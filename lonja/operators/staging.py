@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -18,28 +17,23 @@ def not_kept(rows: DataFrame, name: str) -> DataFrame:
     return rows
 
 
-_own_folders: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``. Only a local session may make up its own."""
+    """The folder the cluster names in ``spark.checkpoint.dir``; where it is unset, one in the warehouse."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if context.applicationId not in _own_folders:
-        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="lonja-")
-    return _own_folders[context.applicationId]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_lonja_stages"
 
 
 class Stage:
-    """A private subfolder of the shared folder. Use as a context manager to remove it when the work is done."""
+    """A private subfolder of the shared folder, removed at the end of the session, or of the ``with`` block."""
 
     def __init__(self, spark: SparkSession, purpose: str):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+        path, files = self._files()
+        files.deleteOnExit(path)
 
     def at(self, name: str) -> str:
         return f"{self.path}/{name}"
@@ -49,9 +43,13 @@ class Stage:
         rows.write.mode("overwrite").parquet(self.at(name))
         return self.spark.read.schema(rows.schema).parquet(self.at(name))
 
-    def remove(self) -> None:
+    def _files(self):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def remove(self) -> None:
+        path, files = self._files()
+        files.delete(path, True)
 
     def __enter__(self) -> Stage:
         return self

@@ -5,6 +5,7 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from lonja.testbed import oracle, queries as registry
 from check import compare, database
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -18,10 +19,15 @@ def connection():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(oracle_sql()) == set(queries())
+    assert set(oracle.oracle_sql()) == set(registry.queries())
 
 
-@pytest.mark.parametrize("name", queries())
+def test_the_driver_sees_every_query():
+    assert set(registry.queries()) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
+
+
+@pytest.mark.parametrize("name", registry.queries())
 def test_query(spark, connection, name):
     verdict, _ = compare(spark, connection, SF_DIR, name)
     assert verdict.startswith("ok"), verdict
