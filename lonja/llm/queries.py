@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from lonja.llm import packing
+import re
 
-_MODULES = (packing,)
+from lonja.llm import language, packing, quality
+
+_MODULES = (quality, packing, language)
 
 
 def queries():
-    return {name: query for module in _MODULES for name, query in vars(module).items() if name.startswith("op")}
+    return {name: query for module in _MODULES for name, query in vars(module).items() if re.match(r"op\d+_", name)}
 
 
 def oracle_sql() -> dict[str, str]:
