@@ -2,7 +2,7 @@
 
 from .keep_one import keep_earliest, keep_latest
 from .quality import Check, Checked, evaluated_once, reject_summary
-from .ranking import number_rows, rank_within, ranks_within
+from .ranking import number_rows, numbered, rank_within, ranks_within
 from .staging import Keep, Stage, not_kept, shared_folder
 
 __all__ = [
@@ -15,6 +15,7 @@ __all__ = [
     "keep_latest",
     "not_kept",
     "number_rows",
+    "numbered",
     "rank_within",
     "ranks_within",
     "reject_summary",

@@ -1,9 +1,10 @@
-"""Descending ranks over a whole table, spread over many tasks.
+"""Ranks and row numbers over a whole table, spread over many tasks.
 
-A window without partitions, or with a few huge ones, sorts everything in one task. Here the rows are cut into
-ranges of the order key first. The range limits come from a sample with a fixed size that is a pure function of the
-data (the rows with the smallest hashes), so that a recomputed task or a second scan cuts the same ranges. Inside a
-range the position is a normal window; the number of rows in the ranges before it is added afterwards.
+A window without partitions, or with a few huge ones, sorts everything in one task. Here the rows are cut into ranges of
+the order key, sorted inside each range and stored with their place: the number of the range and the position in it. The
+ranges are Spark's own (bounds from a distributed sample, looked up by binary search, small ranges joined at run time),
+and since the place is stored, a recomputed task or a second scan cannot cut other ranges. What is left is one row per
+range with the number of rows before it.
 """
 
 from __future__ import annotations
@@ -13,44 +14,37 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Each range is cut from this many sampled keys, which keeps the ranges close to equal in size.
-SAMPLES_PER_RANGE = 16
-MOST_RANGES = 1024
+from .staging import Stage
 
-_KEY = "_rank_key"
-_RANGE = "_rank_range"
-_LIMITS = "_rank_limits"
 _ROWS = "_rank_rows"
+_PLACE = "_rank_place"
+_RANGE = "_rank_range"
 _BEFORE = "_rank_before"
+_LOCAL_BITS = 33  # of a generated id: the position in its task
 
 
-def _range_count(rows: DataFrame) -> int:
-    return min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_RANGES)
-
-
-def _descending(value: str, ties: Sequence[str] = ()) -> Column:
-    """A struct whose ascending order is ``value`` descending, NULL last, then the tie columns ascending."""
-    return F.struct(F.col(value).isNull(), -F.col(value), *[F.col(tie) for tie in ties])
+def _placed(rows: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """``rows`` sorted by ``order`` over all tasks, stored, with range and position in it."""
+    ranges = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    stored = Stage(rows.sparkSession, "ranges").keep(ranges.withColumn(_PLACE, F.monotonically_increasing_id()), "placed")
+    return stored.withColumn(_RANGE, F.shiftright(_PLACE, _LOCAL_BITS)).withColumn(
+        _PLACE, F.col(_PLACE).bitwiseAND((1 << _LOCAL_BITS) - 1)
+    )
 
 
-def _with_range(rows: DataFrame, ranges: int) -> DataFrame:
-    """Adds the number of the range that ``_KEY`` falls into. At most ``ranges * SAMPLES_PER_RANGE`` keys are gathered."""
-    sample = (
-        rows.select(_KEY)
-        .orderBy(F.xxhash64(_KEY), _KEY)
-        .limit(ranges * SAMPLES_PER_RANGE)
-        .agg(F.array_sort(F.collect_list(_KEY)).alias(_LIMITS))
-        .select(F.filter(_LIMITS, lambda _, i: i % SAMPLES_PER_RANGE == SAMPLES_PER_RANGE - 1))
-    )
-    below = F.size(F.filter(_LIMITS, lambda limit: limit <= F.col(_KEY)))
-    return rows.withColumn(_LIMITS, sample.scalar()).withColumn(_RANGE, below).drop(_LIMITS)
+def _before(placed: DataFrame, size: Column) -> DataFrame:
+    """Rows in the ranges before each range. One row per range goes into the window, none of the table's own."""
+    totals = placed.groupBy(_RANGE).agg(size.alias(_ROWS))
+    earlier = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(_RANGE, F.coalesce(F.sum(_ROWS).over(earlier), F.lit(0)).alias(_BEFORE))
 
 
-def _rows_before(sized: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Rows in the earlier ranges of the same group: one row per group and range, so each window is short."""
-    totals = sized.groupBy(*by, _RANGE).agg(F.sum(_ROWS).alias(_ROWS))
-    earlier = Window.partitionBy(*by).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(*by, _RANGE, F.coalesce(F.sum(_ROWS).over(earlier), F.lit(0)).alias(_BEFORE))
+def numbered(rows: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Adds the position in the order of the whole table as BIGINT, from 0. Rows with equal keys get theirs arbitrarily,
+    and a key that many rows share should be made finer, since a range can only be cut between different keys."""
+    placed = _placed(rows, order)
+    found = placed.join(_before(placed, F.count(F.lit(1))), _RANGE)
+    return found.withColumn(name, F.col(_BEFORE) + F.col(_PLACE)).drop(_RANGE, _PLACE, _BEFORE)
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -60,38 +54,36 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.alias("_l").join(renamed.alias("_r"), match, how).drop(*[f"_r_{name}" for name in keys])
 
 
-def _ranked(ranged: DataFrame, value: str, name: str, by: Sequence[str]) -> DataFrame:
-    """Ranks of counted values that are unique per group ``by``: rows before in the range and in earlier ranges."""
-    inside = Window.partitionBy(*by, _RANGE).orderBy(_KEY).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_rank_local", F.coalesce(F.sum(_ROWS).over(inside), F.lit(0)))
-    return _join_null_safe(local, _rows_before(ranged, by), [*by, _RANGE]).select(
-        *by, value, (F.col("_rank_local") + F.col(_BEFORE) + 1).cast("int").alias(name)
+def _ranked(counted: DataFrame, value: str, name: str, by: Sequence[str]) -> DataFrame:
+    """Ranks of counted values that are unique per group ``by``: all rows before the value, less those before its group."""
+    placed = _placed(counted, [*[F.col(column).asc_nulls_first() for column in by], F.col(value).desc_nulls_last()])
+    inside = Window.partitionBy(_RANGE).orderBy(_PLACE).rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.withColumn("_rank_local", F.coalesce(F.sum(_ROWS).over(inside), F.lit(0)))
+    ranked = local.join(_before(placed, F.sum(_ROWS)), _RANGE).select(
+        *by, value, (F.col("_rank_local") + F.col(_BEFORE) + 1).alias(name)
     )
+    if not by:
+        return ranked
+    first = ranked.groupBy(*by).agg(F.min(name).alias("_rank_first"))
+    return _join_null_safe(ranked, first, by).select(*by, value, (F.col(name) - F.col("_rank_first") + 1).alias(name))
 
 
 def ranks_within(rows: DataFrame, value: str, ranks: Mapping[str, Sequence[str]]) -> DataFrame:
-    """``rank()`` by ``value`` descending, once per entry of ``ranks``: column name to grouping columns (none = all rows).
+    """``rank()`` by ``value`` descending (NULL last), once per entry of ``ranks``: column name to grouping columns (none =
+    all rows). BIGINT.
 
     Works on the distinct values with their counts: equal values collapse before any shuffle, and the join that brings
     the ranks back has one row per value on one side, so a value shared by many rows can be split by adaptive execution.
-    The rows are counted and the ranges are cut once for all ranks. A rank over wider groups counts the values again,
-    since one value may occur in very many of the narrower groups.
     """
     groups = sorted({name for by in ranks.values() for name in by})
-    counted = rows.groupBy(*groups, value).agg(F.count(F.lit(1)).alias(_ROWS)).withColumn(_KEY, _descending(value))
-    ranged = _with_range(counted, _range_count(rows))
-    found = None
-    # the narrowest groups first: their ranks cover every group and value already
-    for name, by in sorted(ranks.items(), key=lambda rank: -len(rank[1])):
-        if set(by) == set(groups):
-            values = ranged
-        else:
-            values = ranged.groupBy(*by, value, _KEY, _RANGE).agg(F.sum(_ROWS).alias(_ROWS))
-        ranked = _ranked(values, value, name, by)
-        if found is None:
-            found = ranked if values is ranged else _join_null_safe(ranged.select(*groups, value), ranked, [*by, value])
-        else:
-            found = _join_null_safe(found, ranked, [*by, value])
+    counted = rows.groupBy(*groups, value).agg(F.count(F.lit(1)).alias(_ROWS))
+    counted = Stage(rows.sparkSession, "ranges").keep(counted, "counted")
+    found = counted.select(*groups, value)
+    for name, by in ranks.items():
+        values = counted
+        if set(by) != set(groups):
+            values = counted.groupBy(*by, value).agg(F.sum(_ROWS).alias(_ROWS))
+        found = _join_null_safe(found, _ranked(values, value, name, by), [*by, value])
     return _join_null_safe(rows, found, [*groups, value], "left")
 
 
@@ -101,15 +93,6 @@ def rank_within(rows: DataFrame, value: str, name: str, by: Sequence[str] = ())
 
 
 def number_rows(rows: DataFrame, value: str, unique: Sequence[str], name: str) -> DataFrame:
-    """``row_number()`` over the whole table by ``value`` descending; ``unique`` columns make the order total."""
-    keyed = rows.withColumn(_KEY, _descending(value, unique)).withColumn(_ROWS, F.lit(1))
-    ranged = _with_range(keyed, _range_count(rows))
-    inside = Window.partitionBy(_RANGE).orderBy(_KEY)
-    placed = ranged.withColumn("_rank_local", F.row_number().over(inside))
-    # One row per range: at most MOST_RANGES rows, so sending it to every task is safe at any scale.
-    before = F.broadcast(_rows_before(ranged, []))
-    return (
-        placed.join(before, _RANGE)
-        .withColumn(name, (F.col("_rank_local") + F.col(_BEFORE)).cast("int"))
-        .drop(_KEY, _ROWS, _RANGE, _BEFORE, "_rank_local")
-    )
+    """``row_number()`` over the whole table by ``value`` descending; ``unique`` columns make the order total. BIGINT."""
+    order = [F.col(value).desc_nulls_last(), *[F.col(column).asc_nulls_first() for column in unique]]
+    return numbered(rows, order, name).withColumn(name, F.col(name) + 1)

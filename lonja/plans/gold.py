@@ -84,8 +84,9 @@ def top_products(
         _or_missing("categoria", rules),
         "unidades",
         "ingresos",
-        "ranking_global",
-        "ranking_categoria",
+        # the table's contract says INT: up to 2^31 products
+        F.col("ranking_global").cast("int").alias("ranking_global"),
+        F.col("ranking_categoria").cast("int").alias("ranking_categoria"),
     )
 
 
@@ -113,7 +114,7 @@ def sales_by_attribute(sales: DataFrame, variants: DataFrame, keep: Keep = not_k
     )
     values = keep(values, "ventas_por_atributo")
     return rank_within(values, "unidades", "ranking", by=["tipo"]).select(
-        "valor", "tipo", "unidades", "ingresos", "ranking"
+        "valor", "tipo", "unidades", "ingresos", F.col("ranking").cast("int").alias("ranking")
     )
 
 
@@ -292,7 +293,7 @@ def customer_value(
             "primera_compra",
             "ultima_compra",
             _segment(F.col("pedidos"), rules).alias("segmento"),
-            "ranking",
+            F.col("ranking").cast("int").alias("ranking"),  # the table's contract says INT: up to 2^31 customers
         )
     )
 
