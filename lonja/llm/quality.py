@@ -95,6 +95,8 @@ def inputs(text: str | None, metadata: Sequence[float | None]) -> tuple[np.ndarr
     value = np.sqrt(np.fromiter(counts.values(), np.float32, len(counts)))
     value /= np.float32(max(1e-9, np.sqrt((value * value).sum())))
     place = np.fromiter(map(_buckets.__getitem__, counts), np.int64, len(counts))
+    place, same = np.unique(place, return_inverse=True)
+    value = np.bincount(same, value, len(place)).astype(np.float32)
     more = BUCKETS + BANDS * np.arange(len(bands)) + np.array(bands)
     return np.concatenate([place, more]), np.concatenate([value, np.full(len(bands), len(bands) ** -0.5, np.float32)])
 
@@ -125,7 +127,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: Sequence[int], size:
         for batch in np.array_split(random.permutation(len(rows)), max(1, len(rows) // 128)):
             x = np.zeros((len(batch), size), np.float32)
             for row, i in zip(x, batch):
-                np.add.at(row, rows[i][0], rows[i][1])
+                row[rows[i][0]] = rows[i][1]
             squared = x * x
             sums = x @ vectors
             margin = base + x @ weights + 0.5 * ((sums * sums).sum(1) - (squared @ (vectors * vectors)).sum(1))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import re
 
-from lonja.llm import language, packing, quality
+from lonja.llm import hosts, language, packing, quality, sharding
 
-_MODULES = (quality, packing, language)
+_MODULES = (quality, packing, language, hosts, sharding)
 
 
 def queries():
