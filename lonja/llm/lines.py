@@ -1,8 +1,8 @@
 """Substring deduplication by hashing lines and the sentences of long lines.
 
 A text is cut into units: at every line break, and inside a line after a sentence end, unless the sentence is shorter than
-``least_words`` (it then belongs to the next unit, or to the one before at the end of a line). The cuts depend on the words beside
-them alone, so a passage gives the same units wherever it stands in a line. A unit's digest is taken over its words, lower-cased,
+``least_words`` (it then belongs to the next unit, or to the one before at the end of a line). Long sentences are cut further after
+words chosen by their hash. The cuts depend on the words near them alone, so a passage gives the same units wherever it stands. A unit's digest is taken over its words, lower-cased,
 without punctuation. Digests are grouped over the whole corpus; of each, the occurrence with the smallest (doc_id, offset) stays and
 all others are removed. What is left keeps its text; the removed spans are given with their original offsets (in code points).
 
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import pyarrow as pa
 import xxhash
@@ -30,25 +31,49 @@ from lonja.llm.common import batches, table, texts
 from lonja.operators.staging import Stage
 
 LEAST_WORDS = 5
+# A sentence of more words is cut further: where a piece has LEAST_PIECE words, after one word in ONE_IN, chosen by its hash.
+LONG_SENTENCE = 24
+LEAST_PIECE = 6
+ONE_IN = 4
 _SENTENCE = re.compile(r"[.!?…。！？]+[\"')\]»”’]*(?:\s+|$)")
 _WORD = re.compile(r"\w+")
 
 
+def _sentence(line: str, start: int, end: int) -> Iterator[tuple[int, int, list[str]]]:
+    """A sentence as one piece, or a long one in pieces that end at words whose hash says so."""
+    words = _WORD.findall(line, start, end)
+    if len(words) <= LONG_SENTENCE:
+        yield start, end, words
+        return
+    piece: list[str] = []
+    for match in _WORD.finditer(line, start, end):
+        piece.append(match.group())
+        if len(piece) >= LEAST_PIECE and crc32(piece[-1].lower().encode()) % ONE_IN == 0:
+            yield start, match.end(), piece
+            start, piece = match.end(), []
+    if start < end:
+        yield start, end, piece
+
+
+def _pieces(line: str) -> Iterator[tuple[int, int, list[str]]]:
+    at = 0
+    for match in _SENTENCE.finditer(line):
+        yield from _sentence(line, at, match.end())
+        at = match.end()
+    if at < len(line):
+        yield from _sentence(line, at, len(line))
+
+
 def _line_units(line: str, start: int, least_words: int) -> Iterator[tuple[int, int, list[str]]]:
     """(start, end, words) of the units of one line; they cover it whole."""
-    held: list = []
-    begin = 0
-    before = None
-    for match in _SENTENCE.finditer(line):
-        held += _WORD.findall(line, begin if not held else last, match.end())
-        last = match.end()
+    begin, held, before = 0, [], None
+    for _, end, words in _pieces(line):
+        held = held + words if held else words
         if len(held) >= least_words:
             if before:
                 yield before
-            before = (start + begin, start + last, held)
-            begin, held = last, []
-    tail = _WORD.findall(line, last if held else begin)
-    held += tail
+            before = (start + begin, start + end, held)
+            begin, held = end, []
     if before and len(held) < least_words:
         yield before[0], start + len(line), before[2] + held
     else:
