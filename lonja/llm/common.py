@@ -30,11 +30,15 @@ def batches(rows: DataFrame, work: Callable[[pa.RecordBatch], Iterator[dict]], s
     def over(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in incoming:
             for columns in work(batch):
-                yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)
+                yield pa.RecordBatch.from_arrays([_column(columns[f.name], f.type) for f in arrow], schema=arrow)
 
     return rows.mapInArrow(over, schema)
 
 
+def _column(values, kind: pa.DataType) -> pa.Array:
+    return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
+
+
 def _schema(ddl: str):
     from pyspark.sql.types import StructType
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import re
 
-from lonja.llm import decontaminate, hosts, language, lines, packing, quality, sharding
+from lonja.llm import decontaminate, hosts, language, lines, near_dedup, packing, quality, sharding
 
-_MODULES = (quality, packing, language, hosts, sharding, decontaminate, lines)
+_MODULES = (quality, packing, near_dedup, language, hosts, sharding, decontaminate, lines)
 
 
 def queries():
