@@ -207,10 +207,10 @@ ORACLE_SQL = {
     "op3_signature_join": """
 WITH RECURSIVE words AS (
     SELECT doc_id, list_filter(regexp_split_to_array(
-        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS w
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
     FROM documents
 ), sets AS (
-    SELECT doc_id, list_distinct(CASE WHEN len(w) > 1 THEN list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) ELSE w END) AS s
+    SELECT doc_id, list_distinct(CASE WHEN len(w) > 1 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS s
     FROM words
 ), content AS (SELECT list_sort(s) AS s, min(doc_id) AS node FROM sets WHERE len(s) > 0 GROUP BY 1),
 items AS (SELECT node, len(s) AS n, unnest(s) AS item FROM content),
