@@ -2,16 +2,20 @@
 
 A document's set holds the hashes of its distinct two-word shingles; equal sets become one node. A node's signature has
 ``COORDINATES`` values, of which two nodes with similarity s share s * COORDINATES on average. Nodes are posted under their values
-and pairs that share at least ``MATCHES`` values are compared on their full sets. (At similarity 0.8, 32 values miss 13 matches with a
-probability below one in a million.)
+and pairs that share at least ``MATCHES`` values are compared on their full sets. (At similarity 0.8, 32 values miss 15 matches with a
+probability of about one in 60,000, at 0.85 below one in ten million.)
 
 Prefix: a value that one node alone has cannot match. Of the s values that a node shares with others, two nodes with MATCHES common
 values must meet under one of the s - MATCHES + 1 rarest; only these are posted, so long lists (common phrases) are hardly
 touched. Skip: the values left out are not merged but looked up in the two nodes' value lists when a pair is counted.
 
-Lists of at most ``SHORT`` nodes give all their pairs. A longer list is not paired out: in every round all members are compared with one
-of them (the same for lists that share it), which joins most of a group of copies; then only lists that still hold several components
-go on. When the pairs left between components are few, these are all compared, so no link between components is lost.
+Lists of at most ``SHORT`` nodes give all their pairs. A longer list is not paired out: its members are compared with ``CHOSEN`` of
+them (the same for lists that share them), which joins most of a group of copies; then only lists that still hold several components
+go on. When the pairs left between components are few, or after ``ROUNDS`` rounds, these are all compared, so that no link between
+components is lost.
+
+The full sets are made once, for nodes that a comparison can need, and stored in buckets by node, so that comparing does not shuffle
+them again.
 
 Defined cases: a null text, or one without words, has no set, is linked with nothing and is kept; one word alone is the set of
 that word; repeated rows have equal sets, hence one component; a row with a null id gets the component of its text; an empty
@@ -33,9 +37,10 @@ from lonja.llm.components import stars
 from lonja.operators.staging import Stage
 
 COORDINATES = 32
-MATCHES = 13
-SHORT = 24
-ROUNDS = 6
+MATCHES = 15
+SHORT = 48
+CHOSEN = 3
+ROUNDS = 3
 
 _random = np.random.default_rng(20)
 _FACTORS = _random.integers(1, 2**63, COORDINATES, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
@@ -114,12 +119,26 @@ class _Graph:
         sizes = posted.groupBy("key").agg(F.count(F.lit(1)).alias("posted")).where("posted > 1")
         self.posted = stage.keep(posted.join(sizes, "key"), "postings")
         self.long = self.posted.where(F.col("posted") > SHORT).drop("posted")
-        needed = rows.join(self.posted.select("node").distinct(), rows["place"] == F.col("node"))
-        self.sets = stage.keep(batches(needed.select("node", "text"), _sets, "node long, hashes binary"), "sets")
+        self.rows, self.sets = rows, None
+        self.name = "near_sets_" + stage.path.rsplit("-", 1)[-1]
 
     def short_pairs(self) -> DataFrame:
         short = self.posted.where(F.col("posted") <= SHORT).drop("posted")
-        return _pairs(short, short)
+        a, b = short.select("key", F.col("node").alias("a")), short.select("key", F.col("node").alias("b"))
+        return a.join(b, "key").where("a < b").select("a", "b")
+
+    def _keep_sets(self, counted: DataFrame) -> DataFrame:
+        """Sets of the nodes of these pairs and of all members of long lists: later pairs are among them. Rows and nodes are dealt out
+        to the buckets before they are joined, so the text moves once."""
+        nodes = counted.select(F.col("a").alias("node")).union(counted.select("b")).union(self.long.select("node"))
+        session = self.rows.sparkSession
+        number = int(session.conf.get("spark.sql.shuffle.partitions"))
+        rows = self.rows.withColumnRenamed("place", "node").repartition(number, "node")
+        needed = rows.join(nodes.distinct().repartition(number, "node"), "node", "left_semi")
+        name = self.name
+        made = batches(needed.select("node", "text"), _sets, "node long, hashes binary")
+        made.write.bucketBy(number, "node").option("path", self.stage.at("sets")).saveAsTable(name)
+        return session.table(name)
 
     def links(self, pairs: DataFrame, name: str) -> DataFrame:
         """Of candidate pairs, those that share enough values and whose sets are similar enough."""
@@ -128,20 +147,25 @@ class _Graph:
         counted = pairs.distinct().join(one, "a").join(other, "b")
         counted = counted.where(F.size(F.array_intersect("a_keys", "b_keys")) >= MATCHES).select("a", "b")
         counted = self.stage.keep(counted, f"{name}_counted")
+        self.sets = self.sets or self._keep_sets(counted)
         one = self.sets.select(F.col("node").alias("a"), F.col("hashes").alias("a_set"))
         other = self.sets.select(F.col("node").alias("b"), F.col("hashes").alias("b_set"))
         both = counted.join(one, "a").join(other, "b").select("a", "b", "a_set", "b_set")
         return batches(both, _compared, "a long, b long, linked boolean").where("linked").select("a", "b")
 
 
-def _pairs(one: DataFrame, other: DataFrame) -> DataFrame:
-    a, b = one.select("key", F.col("node").alias("a")), other.select("key", F.col("node").alias("b"))
-    return a.join(b, "key").where("a < b").select("a", "b")
+def _with_chosen(members: DataFrame, free: DataFrame, number: int) -> DataFrame:
+    """Pairs of each list's members with some of its ``free`` members, by the hash of the node."""
+    node = F.struct("node", "component")
+    chosen = free.groupBy("key").agg(*[F.min_by(node, F.xxhash64("node", F.lit(number * CHOSEN + i))).alias(f"c{i}") for i in range(CHOSEN)])
+    chosen = chosen.select("key", F.explode(F.array_distinct(F.array(*[f"c{i}" for i in range(CHOSEN)]))).alias("one"))
+    pairs = members.join(chosen, "key").where("component <> one.component")
+    return pairs.select(F.least("node", "one.node").alias("a"), F.greatest("node", "one.node").alias("b"))
 
 
-def _with_components(posted: DataFrame, found: DataFrame) -> DataFrame:
-    """Long lists that hold several components, each member with its component."""
-    named = posted.join(found.select(F.col("a").alias("node"), F.col("b").alias("star")), "node", "left")
+def _with_components(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Lists that hold several components, each member with its component."""
+    named = members.select("key", "node").join(found.select(F.col("a").alias("node"), F.col("b").alias("star")), "node", "left")
     named = named.select("key", "node", F.coalesce("star", "node").alias("component"))
     open_lists = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     return named.join(open_lists.select("key"), "key")
@@ -151,9 +175,10 @@ def components(nodes: DataFrame, rows: DataFrame, stage: Stage) -> DataFrame:
     """(a, b): node and smallest node of its component, for the nodes that are not the smallest of theirs. ``nodes`` has node and
     signature, ``rows`` place and text."""
     graph = _Graph(nodes, rows, stage)
-    found = stars(graph.links(graph.short_pairs(), "short"), stage, "short")
-    for number in range(ROUNDS + 1):
-        members = stage.keep(_with_components(graph.long, found), f"long_{number}")
+    members = graph.long.withColumn("component", F.col("node"))
+    found = stars(graph.links(graph.short_pairs().unionByName(_with_chosen(members, members, 0)), "first"), stage, "first")
+    for number in range(1, ROUNDS + 1):
+        members = stage.keep(_with_components(members, found), f"long_{number}")
         parts = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
         left = parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
         left = left.agg(F.sum("n").alias("members"), F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs")).first()
@@ -165,16 +190,12 @@ def components(nodes: DataFrame, rows: DataFrame, stage: Stage) -> DataFrame:
             b = members.select("key", F.col("node").alias("b"), F.col("component").alias("b_component"))
             pairs = a.join(b, "key").where("a < b and a_component <> b_component").select("a", "b")
         else:
-            # Compared with the others: one member of each list, not of its largest component after the first round.
             largest = parts.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
-            free = members.join(largest, "key").where((F.col("component") != F.col("largest")) | F.lit(number == 0))
-            chosen = free.groupBy("key").agg(F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(number))).alias("one"))
-            pairs = members.join(chosen, "key").where("component <> one.component").select(
-                F.least("node", "one.node").alias("a"), F.greatest("node", "one.node").alias("b")
-            )
+            pairs = _with_chosen(members, members.join(largest, "key").where("component <> largest").drop("largest"), number)
         found = stars(found.unionByName(graph.links(pairs, f"round_{number}")), stage, f"round_{number}")
         if last:
             break
+    rows.sparkSession.sql(f"DROP TABLE IF EXISTS {graph.name}")  # its files stay in the stage's folder and go with it
     return found
 
 

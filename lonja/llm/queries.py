@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import re
 
-from lonja.llm import decontaminate, hosts, katz, language, lines, near_dedup, packing, quality, sharding
+from lonja.llm import decontaminate, hosts, katz, language, lines, near_dedup, order_minhash, packing, quality, sharding
 
-_MODULES = (quality, packing, near_dedup, katz, language, hosts, sharding, decontaminate, lines)
+_MODULES = (quality, packing, near_dedup, katz, order_minhash, language, hosts, sharding, decontaminate, lines)
 
 
 def queries():
