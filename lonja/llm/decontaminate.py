@@ -103,6 +103,13 @@ def contaminated(
     )
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, stage: Stage, share: float = SHARE) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no item of the benchmark."""
+    numbered = docs.withColumn("_clean_place", F.monotonically_increasing_id())
+    hits = stage.keep(contaminated(docs, benchmark, stage, share).select(F.col("place").alias("_clean_place")).distinct(), "hits")
+    return numbered.join(hits, "_clean_place", "left_anti").drop("_clean_place")
+
+
 def op9_template_decontamination(spark, sf_dir: str) -> DataFrame:
     hits = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Stage(spark, "templates"))
     return hits.drop("place")

@@ -164,6 +164,23 @@ def identify(docs: DataFrame, codes: Codes | None, ambiguous_below: float = 0.2)
     return batches(texts(docs), judge, "doc_id long, lang_pred string, score double, ambiguous boolean")
 
 
+def identified(docs: DataFrame, codes: Codes | None, ambiguous_below: float = 0.2) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is known and not in doubt."""
+    at = docs.columns.index("text")
+
+    def sure(text: str | None) -> bool:
+        if codes is None or not has_letter(text):
+            return False
+        found, values = ngrams(text)
+        return decode(codes, values @ codes.weights[found] + codes.bias)[2] >= ambiguous_below
+
+    def over(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in incoming:
+            yield batch.filter(pa.array([sure(text) for text in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(over, docs.schema)
+
+
 def op6_language_codes(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = identify(docs, learn(docs, remainder(F.col("doc_id"), 4) != 2))

@@ -2,8 +2,8 @@
 
 A text is cut into units: at every line break, and inside a line after a sentence end, unless the sentence is shorter than
 ``least_words`` (it then belongs to the next unit, or to the one before at the end of a line). Long sentences are cut further after
-words chosen by their hash. The cuts depend on the words near them alone, so a passage gives the same units wherever it stands. A unit's digest is taken over its words, lower-cased,
-without punctuation. Digests are grouped over the whole corpus; of each, the occurrence with the smallest (doc_id, offset) stays and
+words chosen by their hash. The cuts depend on the words near them alone, so a passage gives the same units wherever it stands. A unit's
+digest is taken over its words, lower-cased, without punctuation. Digests are grouped over the whole corpus; of each, the occurrence with the smallest (doc_id, offset) stays and
 all others are removed. What is left keeps its text; the removed spans are given with their original offsets (in code points).
 
 The shuffles carry digests and places, not texts: the groups are made by partial aggregation, so a unit that a third of all
@@ -22,6 +22,7 @@ import re
 from collections.abc import Iterator
 from zlib import crc32
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -93,11 +94,6 @@ def units(text: str, least_words: int = LEAST_WORDS) -> Iterator[tuple[int, int,
         start += len(line) + 1
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """Repeated ids are told apart by their place in the input, which is the same in every scan of the files."""
-    return texts(docs).withColumn("place", F.monotonically_increasing_id())
-
-
 def repeats(rows: DataFrame, stage: Stage, least_words: int = LEAST_WORDS) -> DataFrame:
     """place, doc_id, start, end of every unit but the first of its digest. ``rows`` has doc_id, text and place."""
 
@@ -125,22 +121,20 @@ def repeats(rows: DataFrame, stage: Stage, least_words: int = LEAST_WORDS) -> Da
 
 
 def drop_repeats(docs: DataFrame, stage: Stage, least_words: int = LEAST_WORDS) -> DataFrame:
-    """place (of the row in ``docs``), doc_id, text (what is left of it), removed_start, removed_end (arrays, in text order)."""
-    rows = _numbered(docs)
-    spans = repeats(rows, stage, least_words).groupBy("place").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
-    joined = rows.join(spans, "place", "left").select(
-        "place", "doc_id", "text", F.col("spans.start").alias("removed_start"), F.col("spans.end").alias("removed_end")
-    )
+    """All columns of ``docs`` with what is left of the text, and removed_spans: structs of start and end in text order, or null.
 
-    def cut(batch: pa.RecordBatch) -> Iterator[dict]:
-        left, starts, ends = [], [], []
-        for text, start, end in zip(*[c.to_pylist() for c in batch.columns[2:]]):
-            starts.append(start or [])
-            ends.append(end or [])
-            left.append(text if text is None or not start else _without(text, start, end))
-        yield {"place": batch.column(0), "doc_id": batch.column(1), "text": left, "removed_start": starts, "removed_end": ends}
+    Rows are told apart by their place in the input, which is the same in every scan of the files: ``docs`` is a table that is read."""
+    numbered = docs.withColumn("_lines_place", F.monotonically_increasing_id())
+    spans = repeats(texts(numbered, F.col("_lines_place").alias("place")), stage, least_words).groupBy("place")
+    spans = spans.agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_lines_spans"))
+    joined = numbered.join(spans.withColumnRenamed("place", "_lines_place"), "_lines_place", "left").drop("_lines_place")
+
+    @F.pandas_udf("string")
+    def left(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+        return pd.Series([t if t is None or s is None else _without(t, s, e) for t, s, e in zip(text, starts, ends)], dtype=object)
 
-    return batches(joined, cut, "place long, doc_id long, text string, removed_start array<int>, removed_end array<int>")
+    cut = joined.withColumn("text", left(F.col("text").cast("string"), "_lines_spans.start", "_lines_spans.end"))
+    return cut.withColumn("removed_spans", F.col("_lines_spans")).drop("_lines_spans")
 
 
 def _without(text: str, starts: list[int], ends: list[int]) -> str:
@@ -155,5 +149,6 @@ def _without(text: str, starts: list[int], ends: list[int]) -> str:
 
 
 def op10_line_hashing(spark, sf_dir: str) -> DataFrame:
-    left = drop_repeats(table(spark, sf_dir, "documents"), Stage(spark, "lines"))
-    return left.select("doc_id", "text", F.size("removed_start").alias("n_removed"), "removed_start", "removed_end")
+    left = drop_repeats(texts(table(spark, sf_dir, "documents")), Stage(spark, "lines"))
+    spans = F.coalesce("removed_spans", F.array().cast("array<struct<start:int,end:int>>"))
+    return left.select("doc_id", "text", F.size(spans).alias("n_removed"), spans["start"].alias("removed_start"), spans["end"].alias("removed_end"))

@@ -200,7 +200,7 @@ def components(nodes: DataFrame, rows: DataFrame, stage: Stage) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, stage: Stage) -> DataFrame:
-    """place (of the row in ``docs``), doc_id, n_shingles, component_id, kept for every row."""
+    """place (of the row in ``docs``), doc_id, n_shingles, component_id, kept and component (a number of its own) for every row."""
     rows = texts(docs).withColumn("place", F.monotonically_increasing_id()).select("place", "doc_id", "text")
     signed = batches(rows, _signed, "place long, doc_id long, n_shingles long, digest binary, signature array<bigint>")
     signed = stage.keep(signed, "signed")
@@ -213,14 +213,24 @@ def near_duplicates(docs: DataFrame, stage: Stage) -> DataFrame:
     named = stage.keep(named.select("digest", "least_id", F.coalesce("star", "node").alias("component")), "named")
     ids = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     slim = signed.select("place", "doc_id", "n_shingles", "digest")
-    with_set = slim.join(named.join(ids, "component").select("digest", "component_id"), "digest").drop("digest")
-    without = slim.where(F.col("digest").isNull()).select("place", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    with_set = slim.join(named.join(ids, "component").select("digest", "component_id", "component"), "digest").drop("digest")
+    without = slim.where(F.col("digest").isNull()).select(
+        "place", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.col("place").alias("component")
+    )
     every = with_set.unionByName(without)
     return every.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def one_of_each(docs: DataFrame, stage: Stage) -> DataFrame:
+    """The rows of ``docs`` with one document of each group: that with the smallest id, of repeated rows the first."""
+    numbered = docs.withColumn("_near_place", F.monotonically_increasing_id())
+    judged = near_duplicates(docs, stage)
+    stay = judged.groupBy("component").agg(F.min_by("place", F.struct(~F.col("kept"), "place")).alias("_near_place"))
+    return numbered.join(stay.select("_near_place"), "_near_place", "left_semi").drop("_near_place")
+
+
 def op3_signature_join(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), Stage(spark, "near")).drop("place")
+    return near_duplicates(table(spark, sf_dir, "documents"), Stage(spark, "near")).drop("place", "component")
 
 
 # Exact: every pair of documents that share a shingle, counted on full sets. For small tables.
