@@ -2,8 +2,8 @@
 
 A document's set holds the hashes of its distinct two-word shingles; equal sets become one node. A node's signature has
 ``COORDINATES`` values, of which two nodes with similarity s share s * COORDINATES on average. Nodes are posted under their values
-and pairs that share at least ``MATCHES`` values are compared on their full sets. (At similarity 0.8, 32 values miss 15 matches with a
-probability of about one in 60,000, at 0.85 below one in ten million.)
+and pairs that share at least ``MATCHES`` values are compared on their full sets. (At similarity 0.8, 64 values miss 38 matches with a
+probability of about one in 30,000, at 0.85 below one in ten million.)
 
 Prefix: a value that one node alone has cannot match. Of the s values that a node shares with others, two nodes with MATCHES common
 values must meet under one of the s - MATCHES + 1 rarest; only these are posted, so long lists (common phrases) are hardly
@@ -24,6 +24,7 @@ table gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,11 +37,12 @@ from lonja.llm.common import batches, table, texts
 from lonja.llm.components import stars
 from lonja.operators.staging import Stage
 
-COORDINATES = 32
-MATCHES = 15
+COORDINATES = 64
+MATCHES = 38
 SHORT = 48
 CHOSEN = 3
-ROUNDS = 3
+ROUNDS = 5
+FEW = 4  # pairs left per member of a list
 
 _random = np.random.default_rng(20)
 _FACTORS = _random.integers(1, 2**63, COORDINATES, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
@@ -120,7 +122,7 @@ class _Graph:
         self.posted = stage.keep(posted.join(sizes, "key"), "postings")
         self.long = self.posted.where(F.col("posted") > SHORT).drop("posted")
         self.rows, self.sets = rows, None
-        self.name = "near_sets_" + stage.path.rsplit("-", 1)[-1]
+        self.name = "near_sets_" + uuid.uuid4().hex
 
     def short_pairs(self) -> DataFrame:
         short = self.posted.where(F.col("posted") <= SHORT).drop("posted")
@@ -137,7 +139,7 @@ class _Graph:
         needed = rows.join(nodes.distinct().repartition(number, "node"), "node", "left_semi")
         name = self.name
         made = batches(needed.select("node", "text"), _sets, "node long, hashes binary")
-        made.write.bucketBy(number, "node").option("path", self.stage.at("sets")).saveAsTable(name)
+        made.write.bucketBy(number, "node").option("path", self.stage.at(name)).saveAsTable(name)
         return session.table(name)
 
     def links(self, pairs: DataFrame, name: str) -> DataFrame:
@@ -184,7 +186,7 @@ def components(nodes: DataFrame, rows: DataFrame, stage: Stage) -> DataFrame:
         left = left.agg(F.sum("n").alias("members"), F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs")).first()
         if not left.members:
             break
-        last = number == ROUNDS or left.pairs <= SHORT * left.members
+        last = number == ROUNDS or left.pairs <= FEW * left.members
         if last:
             a = members.select("key", F.col("node").alias("a"), F.col("component").alias("a_component"))
             b = members.select("key", F.col("node").alias("b"), F.col("component").alias("b_component"))
