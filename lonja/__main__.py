@@ -16,6 +16,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("step", choices=["bronze", "silver", "gold", "batch", "stream", "report"])
     parser.add_argument("name", nargs="?", choices=sorted(reports.REPORTS), help="which report")
     parser.add_argument("--csv", help="write the report there instead of showing it")
+    parser.add_argument("--limit", type=int, default=100, help="how many rows to show; the number of all rows is shown too")
     chosen = parser.parse_args(arguments)
     if chosen.step == "report" and not chosen.name:
         parser.error("name a report")
@@ -42,7 +43,11 @@ def main(arguments: list[str] | None = None) -> int:
         start(records, LiveSinks(lake, rules=rules), settings["STREAM_TRIGGER"]).awaitTermination()
     else:
         report = runner.report(spark, lake, chosen.name)
-        reports.write_csv(report, chosen.csv) if chosen.csv else report.show(100, truncate=False)
+        if chosen.csv:
+            reports.write_csv(report, chosen.csv)
+        else:
+            report.show(chosen.limit, truncate=False)
+            print(f"{report.count()} rows in all")
     return 0
 
 

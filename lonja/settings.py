@@ -23,6 +23,8 @@ DEFAULTS = {
     "KAFKA_BOOTSTRAP_SERVERS": "kafka:9092",
     "KAFKA_TOPIC": "eventos-web",
     "KAFKA_STARTING_OFFSETS": "latest",
+    "KAFKA_FAIL_ON_DATA_LOSS": "false",
+    "KAFKA_MAX_OFFSETS_PER_TRIGGER": "",
     "API_BASE_URL": "",
     "STREAM_TRIGGER": "10 seconds",
     "STOCK_UMBRAL": "5",
@@ -57,7 +59,13 @@ class Settings:
 
     @property
     def topic(self) -> dict[str, str]:
-        return {"subscribe": self["KAFKA_TOPIC"], "startingOffsets": self["KAFKA_STARTING_OFFSETS"]}
+        options = {
+            "subscribe": self["KAFKA_TOPIC"],
+            "startingOffsets": self["KAFKA_STARTING_OFFSETS"],
+            "failOnDataLoss": self["KAFKA_FAIL_ON_DATA_LOSS"],
+            "maxOffsetsPerTrigger": self["KAFKA_MAX_OFFSETS_PER_TRIGGER"],
+        }
+        return {name: value for name, value in options.items() if value}
 
     def session(self, name: str) -> SparkSession:
         """A session in the shop's time zone. Master, memory and shuffle settings come from spark-submit."""

@@ -13,7 +13,6 @@ KAFKA_DEFAULTS = {
     "subscribe": "eventos-web",
     "startingOffsets": "latest",
     "failOnDataLoss": "false",
-    "maxOffsetsPerTrigger": "5000",
 }
 
 
