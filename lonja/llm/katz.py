@@ -344,7 +344,7 @@ def _pair_terms(tokens_all: int, left_words: list[float], unknown: float, hot: i
 
 def score(docs: DataFrame, learned: Column, stage: Stage) -> DataFrame:
     """doc_id, held_out (not ``learned``), n_tokens, n_known, train_tokens, base_score and score for every row of ``docs``."""
-    rows = texts(docs, learned.alias("learned")).select("doc_id", "learned", "text")
+    rows = texts(docs, F.coalesce(learned, F.lit(False)).alias("learned")).select("doc_id", "learned", "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = 1 + size // (6 * PARTITION_TOKENS)
     hot = PARTITION_TOKENS // 3
