@@ -11,8 +11,10 @@ touched. Skip: the values left out are not merged but looked up in the two nodes
 
 Lists of at most ``SHORT`` nodes give all their pairs. A longer list is not paired out: its members are compared with ``CHOSEN`` of
 them (the same for lists that share them), which joins most of a group of copies; then only lists that still hold several components
-go on. When the pairs left between components are few, or after ``ROUNDS`` rounds, these are all compared, so that no link between
-components is lost.
+go on. After ``ROUNDS`` rounds, what is left is settled exactly: the members of the open lists are posted under the elements of their
+full sets, the rarest first and no more than a link leaves room for. A pair of different components is compared only if, behind the
+element where it meets, both sets are still long enough for a link; a group whose members are half alike gives hardly any such pair.
+No link between components of these lists is lost.
 
 The full sets are made once, for nodes that a comparison can need, and stored in buckets by node, so that comparing does not shuffle
 them again.
@@ -41,8 +43,7 @@ COORDINATES = 64
 MATCHES = 38
 SHORT = 48
 CHOSEN = 3
-ROUNDS = 5
-FEW = 4  # pairs left per member of a list
+ROUNDS = 1
 
 _random = np.random.default_rng(20)
 _FACTORS = _random.integers(1, 2**63, COORDINATES, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
@@ -98,6 +99,15 @@ def _sets(batch: pa.RecordBatch) -> Iterator[dict]:
         yield {"node": part.column(0), "hashes": [shingles(text).tobytes() for text in part.column(1).to_pylist()]}
 
 
+def _elements(batch: pa.RecordBatch) -> Iterator[dict]:
+    for start in range(0, batch.num_rows, 500):
+        part = batch.slice(start, 500)
+        sets = [np.frombuffer(hashes, np.int64) for hashes in part.column(1).to_pylist()]
+        sizes = np.array([len(one) for one in sets], np.int64)
+        nodes = np.repeat(part.column(0).to_numpy(zero_copy_only=False), sizes)
+        yield {"node": nodes, "n": np.repeat(sizes, sizes), "element": np.concatenate(sets)}
+
+
 def _compared(batch: pa.RecordBatch) -> Iterator[dict]:
     linked = []
     for one, other in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
@@ -150,11 +160,38 @@ class _Graph:
         counted = counted.where(F.size(F.array_intersect("a_keys", "b_keys")) >= MATCHES).select("a", "b")
         counted = self.stage.keep(counted, f"{name}_counted")
         self.sets = self.sets or self._keep_sets(counted)
+        return self.linked(counted)
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """Of pairs of nodes whose sets are stored, those that are similar enough."""
         one = self.sets.select(F.col("node").alias("a"), F.col("hashes").alias("a_set"))
         other = self.sets.select(F.col("node").alias("b"), F.col("hashes").alias("b_set"))
-        both = counted.join(one, "a").join(other, "b").select("a", "b", "a_set", "b_set")
+        both = pairs.join(one, "a").join(other, "b").select("a", "b", "a_set", "b_set")
         return batches(both, _compared, "a long, b long, linked boolean").where("linked").select("a", "b")
 
+    def possible_pairs(self, members: DataFrame) -> DataFrame:
+        """Pairs of members of different components that can still be linked, by their full sets. A link of sets of n and m elements
+        has at least 4/9 (n + m) in common, hence 4/5 of each; ``ahead`` are the elements of a set from the meeting place on that
+        others have too, in the common order (rarest first)."""
+        nodes = self.stage.keep(members.select("node", "component").distinct(), "open_nodes")
+        sets = self.sets.join(nodes, "node", "left_semi").select("node", "hashes")
+        every = batches(sets, _elements, "node long, n long, element long")
+        often = every.groupBy("element").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+        lists = every.join(often, "element").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("often", "element"))).alias("shared"))
+        spare = F.expr("CAST(size(shared) - (4 * n + 4) DIV 5 AS INT)")
+        first = lists.where(spare >= 0).withColumn("room", spare + 1).withColumn("size", F.size("shared"))
+        first = first.select("node", "n", "size", F.posexplode(F.slice("shared", 1, F.col("room"))).alias("place", "item"))
+        posted = first.select("node", "n", (F.col("size") - F.col("place")).alias("ahead"), F.col("item.element").alias("element"))
+        posted = self.stage.keep(posted.join(nodes, "node"), "open_postings")
+        parts = posted.groupBy("element", "component").agg(F.count(F.lit(1)).alias("members"))
+        largest = parts.groupBy("element").agg(F.max_by("component", F.struct("members", "component")).alias("largest"), F.count(F.lit(1)).alias("parts"))
+        several = posted.join(largest.where("parts > 1").drop("parts"), "element")
+        a = several.where("component <> largest").select("element", *[F.col(c).alias(f"a_{c}") for c in ("node", "n", "ahead", "component")])
+        b = several.select("element", "largest", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "ahead", "component")])
+        enough = "9 * least(a_ahead, b_ahead) >= 4 * (a_n + b_n)"
+        pairs = a.join(b, "element").where(f"a_component <> b_component AND (b_component = largest OR a_node < b_node) AND {enough}")
+        return pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+
 
 def _with_chosen(members: DataFrame, free: DataFrame, number: int) -> DataFrame:
     """Pairs of each list's members with some of its ``free`` members, by the hash of the node."""
@@ -179,24 +216,17 @@ def components(nodes: DataFrame, rows: DataFrame, stage: Stage) -> DataFrame:
     graph = _Graph(nodes, rows, stage)
     members = graph.long.withColumn("component", F.col("node"))
     found = stars(graph.links(graph.short_pairs().unionByName(_with_chosen(members, members, 0)), "first"), stage, "first")
+    members = stage.keep(_with_components(members, found), "long_0")
     for number in range(1, ROUNDS + 1):
-        members = stage.keep(_with_components(members, found), f"long_{number}")
-        parts = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-        left = parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-        left = left.agg(F.sum("n").alias("members"), F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs")).first()
-        if not left.members:
+        if members.isEmpty():
             break
-        last = number == ROUNDS or left.pairs <= FEW * left.members
-        if last:
-            a = members.select("key", F.col("node").alias("a"), F.col("component").alias("a_component"))
-            b = members.select("key", F.col("node").alias("b"), F.col("component").alias("b_component"))
-            pairs = a.join(b, "key").where("a < b and a_component <> b_component").select("a", "b")
-        else:
-            largest = parts.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
-            pairs = _with_chosen(members, members.join(largest, "key").where("component <> largest").drop("largest"), number)
+        parts = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+        largest = parts.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
+        pairs = _with_chosen(members, members.join(largest, "key").where("component <> largest").drop("largest"), number)
         found = stars(found.unionByName(graph.links(pairs, f"round_{number}")), stage, f"round_{number}")
-        if last:
-            break
+        members = stage.keep(_with_components(members, found), f"long_{number}")
+    if not members.isEmpty():
+        found = stars(found.unionByName(graph.linked(graph.possible_pairs(members))), stage, "last")
     rows.sparkSession.sql(f"DROP TABLE IF EXISTS {graph.name}")  # its files stay in the stage's folder and go with it
     return found
 

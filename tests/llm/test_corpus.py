@@ -122,6 +122,21 @@ def test_near_duplicates_against_all_pairs(spark, odd, written, stage, monkeypat
     assert Counter(r.doc_id for r in left if r.doc_id is not None) == Counter({r.doc_id for r in rows if r.kept and r.doc_id is not None})
 
 
+def test_a_group_that_is_half_alike(spark, written, stage, monkeypatch):
+    """Without rounds, so that the last step settles it: most members of the group are near the limit, on both sides of it."""
+    monkeypatch.setattr(near_dedup, "SHORT", 2)
+    monkeypatch.setattr(near_dedup, "ROUNDS", 0)
+    monkeypatch.setattr(near_dedup, "CHOSEN", 1)
+    first = prose(120)
+    texts = [first] + [changed(first, int(n)) for n in random.integers(1, 16, 120)] + [first + " " + prose(n) for n in range(1, 40)]
+    docs = written(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    reached = []
+    possible = near_dedup._Graph.possible_pairs
+    monkeypatch.setattr(near_dedup._Graph, "possible_pairs", lambda graph, members: reached.append(1) or possible(graph, members))
+    rows = near_dedup.near_duplicates(docs, stage).collect()
+    assert reached and Counter((r.doc_id, r.n_shingles, r.component_id) for r in rows) == plain_components(list(enumerate(texts)))
+
+
 def test_near_duplicates_of_nothing(none, stage):
     assert near_dedup.near_duplicates(none, stage).count() == 0
 
