@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 # dd?MM?yyyy with the same separator twice; the separators are / - and .
 DAY_FIRST_PATTERN = r"^(\d{2})([/.\-])(\d{2})\2(\d{4})$"
-ZONE_PATTERN = r"\d{2}:\d{2}.*(?:Z|UTC|GMT|[+-]\d{2}:?\d{0,2})$"
-DATE_ONLY_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
-MINUTES_ONLY_PATTERN = r"[T ]\d{1,2}:\d{1,2}$"
+# a time of day and, behind it, anything but more digits: an offset or the name of a zone
+ZONE_PATTERN = r"^[^T ]+[T ][\d:.]+[^\d:.]"
 
 
 def day_from_text(col: str) -> Column:
@@ -22,12 +21,11 @@ def day_from_text(col: str) -> Column:
 
 
 def event_instant(col: str, naive_zone: str = "UTC") -> Column:
-    """Instant from ISO text. Text with an offset keeps it, text without is read in ``naive_zone``."""
+    """Instant from any text that Spark reads as a timestamp. Text with an offset or a zone keeps it, text without is read
+    in ``naive_zone``: it is written out as a full wall-clock time, since a zone may only follow full seconds."""
     text = F.trim(F.col(col))
-    # a zone may only follow full seconds
-    rest = F.when(text.rlike(MINUTES_ONLY_PATTERN), ":00").when(text.rlike(DATE_ONLY_PATTERN), "T00:00:00").otherwise("")
-    zone = F.when(text.rlike(ZONE_PATTERN), "").otherwise(naive_zone)
-    return F.try_to_timestamp(F.concat(text, rest, zone))
+    clock = text.try_cast("timestamp_ntz").cast("string")
+    return F.try_to_timestamp(F.when(text.rlike(ZONE_PATTERN), text).otherwise(F.concat(clock, F.lit(naive_zone))))
 
 
 def wall_clock(instant: Column, zone: str = "UTC") -> Column:

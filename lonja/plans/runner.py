@@ -64,27 +64,33 @@ def ingest_database(spark: SparkSession, database: Database, lake: Lake, at: dat
 
 
 def ingest_files(spark: SparkSession, raw: str, lake: Lake, at: datetime | None = None) -> None:
-    """The raw file families to Bronze in their own formats, and a manifest of the files."""
+    """The raw file families to Bronze in their own formats, and a manifest of the files. The event backfill may be missing."""
     raw = raw.rstrip("/")
-    families = [f"{raw}/{name}" for name in ("historico_ventas", "devoluciones_historicas.csv", "proveedores.json", "eventos_web")]
-    sales, returned, makers, events = families
+    families = [f"{raw}/{name}" for name in ("historico_ventas", "devoluciones_historicas.csv", "proveedores.json")]
+    sales, returned, makers = families
     try:
         listing = file_listing(spark, families)
     except AnalysisException as problem:
         raise MissingTable(f"raw files are missing below {raw}: {problem.getMessage()}") from problem
+    events = f"{raw}/eventos_web"
+    backfill = read_if_present(file_listing, spark, [events])
     land_csv(spark, sales, lake.bronze("historico_ventas"), schemas.SALES_HISTORY)
     land_csv(spark, returned, lake.bronze("historico_devoluciones"), schemas.RETURNS_HISTORY)
     land_json_array(spark, makers, lake.bronze("proveedores"))
-    land_lines(spark, events, lake.bronze("eventos_web", "historico"))
+    if backfill is None:
+        log.warning("no event backfill below %s: events come from the stream alone", raw)
+    else:
+        land_lines(spark, events, lake.bronze("eventos_web", "historico"))
+        listing = listing.unionByName(backfill)
     stamped(listing, "raw", at).write.mode("overwrite").parquet(lake.bronze("_manifiesto"))
 
 
 def ingest_catalog(spark: SparkSession, source: str, lake: Lake, provider: str, at: datetime | None = None) -> bool:
-    """The external catalogue, if its files are there. The run goes on without it."""
+    """The external catalogue is optional: whatever goes wrong with it, the run goes on without it."""
     try:
         land_catalog(spark, source, lake.bronze("api_catalogo"), provider, at)
-    except AnalysisException as problem:
-        log.warning("external catalogue not ingested: %s", problem.getMessage())
+    except Exception as problem:  # refused access and failed tasks have types of their own
+        log.warning("external catalogue not ingested: %s", problem)
         return False
     return True
 
@@ -132,9 +138,9 @@ def run_silver(spark: SparkSession, lake: Lake, rules: ShopRules = DEFAULT_RULES
         write("silver_pedido_detalle", silver.order_view(orders, lines.accepted, paid, variants, stage.keep))
         split("silver_devoluciones", "devoluciones", silver.returns(bronze("devoluciones"), orders))
 
-        sales = read_sales_history(spark, lake.bronze("historico_ventas"))
+        sales = read_sales_history(spark, lake.bronze("historico_ventas"), landed=True)
         split("silver_historico_ventas", "historico_ventas", silver.sales_history(sales))
-        returned = read_returns_history(spark, lake.bronze("historico_devoluciones"))
+        returned = read_returns_history(spark, lake.bronze("historico_devoluciones"), landed=True)
         split("silver_historico_devoluciones", "historico_devoluciones", silver.returns_history(returned))
         write("silver_proveedores", silver.suppliers(read_suppliers(spark, lake.bronze("proveedores"), landed=True)))
         split("silver_eventos_navegacion", "eventos", silver.events(_event_folders(spark, lake), rules))

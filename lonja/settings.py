@@ -23,7 +23,7 @@ DEFAULTS = {
     "KAFKA_BOOTSTRAP_SERVERS": "kafka:9092",
     "KAFKA_TOPIC": "eventos-web",
     "KAFKA_STARTING_OFFSETS": "latest",
-    "KAFKA_FAIL_ON_DATA_LOSS": "false",
+    "KAFKA_FAIL_ON_DATA_LOSS": "",
     "KAFKA_MAX_OFFSETS_PER_TRIGGER": "",
     "API_BASE_URL": "",
     "STREAM_TRIGGER": "10 seconds",

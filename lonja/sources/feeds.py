@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas
 
@@ -16,16 +18,40 @@ KAFKA_DEFAULTS = {
 }
 
 
-def _csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).options(header=True, sep=",").csv(path)
+def named_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """CSV files bound by the names in their header, all fields as text: the declared columns in their order (NULL where
+    the header lacks one), then all others.
 
-
-def read_sales_history(spark: SparkSession, path: str) -> DataFrame:
-    return _csv(spark, path, schemas.SALES_HISTORY)
-
-
-def read_returns_history(spark: SparkSession, path: str) -> DataFrame:
-    return _csv(spark, path, schemas.RETURNS_HISTORY)
+    The header is read from one file. A file whose header differs is an error, never a mix-up of columns.
+    """
+    try:
+        rows = spark.read.options(header=True, enforceSchema=False).csv(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "UNABLE_TO_INFER_SCHEMA":  # a folder without files
+            raise
+        return spark.read.schema(schema).csv(path)
+    declared = schemas.field_names(schema)
+    found = {name.strip().lower(): name for name in rows.columns}
+    chosen = [
+        (F.col(f"`{found[name]}`") if name in found else F.lit(None).cast("string")).alias(name) for name in declared
+    ]
+    others = [F.col(f"`{name}`") for key, name in found.items() if key not in declared]
+    return rows.select(*chosen, *others)
+
+
+def _csv(spark: SparkSession, path: str, schema: str, landed: bool) -> DataFrame:
+    """A landed copy starts with the declared columns, whatever other columns its files have."""
+    if landed:
+        return spark.read.schema(schema).options(header=True).csv(path)
+    return named_csv(spark, path, schema).select(*schemas.field_names(schema))
+
+
+def read_sales_history(spark: SparkSession, path: str, landed: bool = False) -> DataFrame:
+    return _csv(spark, path, schemas.SALES_HISTORY, landed)
+
+
+def read_returns_history(spark: SparkSession, path: str, landed: bool = False) -> DataFrame:
+    return _csv(spark, path, schemas.RETURNS_HISTORY, landed)
 
 
 def read_suppliers(spark: SparkSession, path: str, landed: bool = False) -> DataFrame:

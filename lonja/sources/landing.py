@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from .feeds import named_csv
 
 
 def stamped(rows: DataFrame, source: str, at: datetime | None = None) -> DataFrame:
@@ -36,8 +37,8 @@ def _by_file(rows: DataFrame) -> DataFrame:
 
 
 def land_csv(spark: SparkSession, source: str, target: str, schema: str) -> None:
-    """CSV files with a header to the lake, all fields as text, one folder per file."""
-    rows = _by_file(spark.read.schema(schema).option("header", True).csv(source))
+    """CSV files with a header to the lake, all fields as text, one folder per file: the declared columns first, by name."""
+    rows = _by_file(named_csv(spark, source, schema))
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

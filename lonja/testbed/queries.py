@@ -29,6 +29,9 @@ from .shop import RULES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Micro-batches in which the streaming queries work off their lines.
+BATCHES = 4
+
 
 def presented(rows: DataFrame) -> DataFrame:
     """The output edge: exact money as DOUBLE, instants as UTC wall-clock time."""
@@ -258,22 +261,26 @@ def bronze_manifest(s: Shop) -> DataFrame:
 
 
 def src_csv_history(s: Shop) -> DataFrame:
-    """Sales history written as CSV files, landed in Bronze and read back with the declared schema."""
+    """Sales history written as CSV files with another column order, landed in Bronze and read back by name."""
     raw, landed = s.stage.at("raw"), s.stage.at("bronze")
     keep_spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    s.raw("ventas_historicas").write.options(header=True, **keep_spaces).csv(raw)
+    sales = s.raw("ventas_historicas")
+    sales.select(*reversed(sales.columns)).write.options(header=True, **keep_spaces).csv(raw)
     land_csv(s.spark, raw, landed, schemas.SALES_HISTORY)
-    return read_sales_history(s.spark, landed).drop("_archivo").withColumn("precio_unitario", price_value("precio_unitario"))
+    return read_sales_history(s.spark, landed, landed=True).drop("_archivo").withColumn("precio_unitario", price_value("precio_unitario"))
 
 
 # --- streaming ----------------------------------------------------------------------------------------------------
 
 
 def _replayed(s: Shop) -> Lake:
-    """Runs the streaming job over the event lines until all are worked off; the lake holds what it wrote."""
+    """Runs the streaming job over the event lines in several micro-batches until all are worked off; the lake holds what it
+    wrote. The events of a session are in one file, so that the sessions of the micro-batches can be added up."""
     lines, lake = s.stage.at("lines"), Lake(s.stage.at("lake"))
-    s.raw("event_lines").write.text(lines)
-    streaming.start(text_events(s.spark, lines), streaming.LiveSinks(lake, rules=RULES), every=None).awaitTermination()
+    files = max(int(s.spark.conf.get("spark.sql.shuffle.partitions")), BATCHES)
+    s.raw("event_lines").repartition(files, F.get_json_object("value", "$.session_id")).write.text(lines)
+    records = text_events(s.spark, lines, files_per_trigger=-(-files // BATCHES))
+    streaming.start(records, streaming.LiveSinks(lake, rules=RULES), every=None).awaitTermination()
     return lake
 
 
@@ -288,7 +295,13 @@ def stream_bronze_copy(s: Shop) -> DataFrame:
 
 
 def stream_activity(s: Shop) -> DataFrame:
-    return s.spark.read.parquet(_replayed(s).gold("gold_actividad_stream")).drop("procesado_en", "corrida", "lote")
+    """The activity of all micro-batches, added up."""
+    return s.spark.read.parquet(_replayed(s).gold("gold_actividad_stream")).groupBy("event_type").agg(
+        F.sum("eventos").alias("eventos"),
+        F.sum("sesiones").alias("sesiones"),
+        F.min("primero_ts").alias("primero_ts"),
+        F.max("ultimo_ts").alias("ultimo_ts"),
+    )
 
 
 def stream_stock_alerts(s: Shop) -> DataFrame:

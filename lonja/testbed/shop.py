@@ -245,11 +245,12 @@ def event_lines(spark: SparkSession, sf_dir: str, again: int = 10) -> DataFrame:
         .withColumn("at", F.expr("ts + make_dt_interval(0, 0, 0, late)"))
     )
     stamp = "date_format(at, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
+    zone = "element_at(array('', '+00:00', ' Etc/UTC', '+0:00', 'Z'), CAST(event_id % 5 AS INT) + 1)"
     return sent.selectExpr(
         f"""IF(event_id % 401 = 0, '{{bad', to_json(named_struct(
             'event_id', IF(event_id % 211 = 0, '  ', concat(' e-', event_id)),
             'event_type', IF(event_id % 307 = 0, 'otro', {_KIND}),
-            'ts', CASE WHEN event_id % 503 = 0 THEN 'ayer' WHEN event_id % 2 = 0 THEN {stamp} ELSE concat({stamp}, '+00:00') END,
+            'ts', CASE WHEN event_id % 503 = 0 THEN 'ayer' ELSE concat({stamp}, {zone}) END,
             'session_id', IF(event_id % 409 = 0, ' ', concat(user_id, '-', date_format(ts, 'yyyyMMdd'))),
             'user_id', IF(event_id % 10 < 3, NULL, user_id),
             'producto_id', IF(event_type IN ('view', 'click', 'error'), p - p % 4, NULL),

@@ -71,11 +71,13 @@ def test_event_times_do_not_depend_on_the_session_zone(spark, rows, session_zone
         texts = [
             "2024-05-01T10:00:00", "2024-05-01 10:00", "2024-05-01", "2024-05-01T10:00:00Z", "2024-05-01T10:00:00.250+00:00",
             "2024-05-01T10:00:00+0200", "2024-05-01T10:00:00-05:00", "ayer", "", None,
+            "2024-05-01T10:00:00 Europe/Madrid", "2024-05-01T10:00:00 CET", "2024-05-01T10:00:00+1:00", "2024-5-1", "2024-05-01T10",
         ]
         in_madrid = fn.wall_clock(fn.event_instant("x", "Europe/Madrid"))
         assert applied(rows, in_madrid, *texts) == [
             datetime(2024, 5, 1, 8), datetime(2024, 5, 1, 8), datetime(2024, 4, 30, 22), datetime(2024, 5, 1, 10),
             datetime(2024, 5, 1, 10, 0, 0, 250000), datetime(2024, 5, 1, 8), datetime(2024, 5, 1, 15), None, None, None,
+            datetime(2024, 5, 1, 8), datetime(2024, 5, 1, 8), datetime(2024, 5, 1, 9), datetime(2024, 4, 30, 22), datetime(2024, 5, 1, 8),
         ]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
