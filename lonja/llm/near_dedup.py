@@ -41,8 +41,8 @@ from lonja.operators.staging import Stage
 
 COORDINATES = 64
 MATCHES = 38
-SHORT = 48
-CHOSEN = 3
+SHORT = 16
+CHOSEN = 1
 ROUNDS = 1
 
 _random = np.random.default_rng(20)
