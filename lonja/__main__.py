@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import inspect
 import logging
 
 from .plans import reports, runner
@@ -11,15 +12,41 @@ from .sources import kafka_events
 from .streaming import LiveSinks, start
 
 
+# Options of the command line and the parameters of reports that they set.
+REPORT_OPTIONS = {"first": "first", "last": "last", "brand": "brands", "category": "categories", "segment": "segments", "kind": "kind", "k": "k"}
+
+
+def report_options(chosen: argparse.Namespace) -> dict:
+    """Parameters for the chosen report. An export holds all rows unless ``--k`` limits it; an option that the report does
+    not know is an error."""
+    options = {name: getattr(chosen, option) for option, name in REPORT_OPTIONS.items() if getattr(chosen, option) is not None}
+    known = inspect.signature(reports.REPORTS[chosen.name][0]).parameters
+    if unknown := sorted(set(options) - set(known)):
+        raise ValueError(f"{chosen.name} does not take {', '.join(unknown)}")
+    if chosen.csv and "k" in known:
+        options.setdefault("k", None)
+    return options
+
+
 def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="lonja")
     parser.add_argument("step", choices=["bronze", "silver", "gold", "batch", "stream", "report"])
     parser.add_argument("name", nargs="?", choices=sorted(reports.REPORTS), help="which report")
     parser.add_argument("--csv", help="write the report there instead of showing it")
     parser.add_argument("--limit", type=int, default=100, help="how many rows to show; the number of all rows is shown too")
+    parser.add_argument("--first", metavar="DAY", help="first day of the report")
+    parser.add_argument("--last", metavar="DAY", help="last day of the report")
+    for option in ("brand", "category", "segment"):
+        parser.add_argument(f"--{option}", action="append", help="may be given several times")
+    parser.add_argument("--kind", choices=["talla", "color"], help="demand by size or by colour")
+    parser.add_argument("--k", type=int, help="number of rows of a top-k report")
     chosen = parser.parse_args(arguments)
     if chosen.step == "report" and not chosen.name:
         parser.error("name a report")
+    try:
+        options = report_options(chosen) if chosen.step == "report" else {}
+    except ValueError as problem:
+        parser.error(str(problem))
     logging.basicConfig(level=logging.INFO)
     settings = Settings.from_environment()
     spark, lake, rules = settings.session(f"lonja-{chosen.step}"), settings.lake, settings.rules
@@ -42,7 +69,7 @@ def main(arguments: list[str] | None = None) -> int:
         records = kafka_events(spark, settings["KAFKA_BOOTSTRAP_SERVERS"], settings.topic)
         start(records, LiveSinks(lake, rules=rules), settings["STREAM_TRIGGER"]).awaitTermination()
     else:
-        report = runner.report(spark, lake, chosen.name)
+        report = runner.report(spark, lake, chosen.name, **options)
         if chosen.csv:
             reports.write_csv(report, chosen.csv)
         else:

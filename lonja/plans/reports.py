@@ -1,4 +1,4 @@
-"""Reports over Gold: the questions a dashboard asks. All are lazy; limits are top-k reports by definition."""
+"""Reports over Gold: the questions a dashboard asks. All are lazy; ``k=None`` gives a top-k report without its limit."""
 
 from __future__ import annotations
 
@@ -62,20 +62,24 @@ def _chosen(rows: DataFrame, col: str, values: Sequence[str] | None) -> DataFram
     return rows if values is None else rows.where(F.col(col).isin(*values))
 
 
+def _first(rows: DataFrame, k: int | None) -> DataFrame:
+    return rows if k is None else rows.limit(k)
+
+
 def top_products(
-    top: DataFrame, k: int = 15, brands: Sequence[str] | None = None, categories: Sequence[str] | None = None
+    top: DataFrame, k: int | None = 15, brands: Sequence[str] | None = None, categories: Sequence[str] | None = None
 ) -> DataFrame:
     """The ``k`` best products by income, of the chosen brands and categories."""
     picked = _chosen(_chosen(top, "marca", brands), "categoria", categories)
-    return (
-        picked.orderBy(F.col("ingresos").desc(), "sku")
-        .limit(k)
-        .select("nombre", "marca", "categoria", "unidades", "ingresos")
-    )
+    best = _first(picked.orderBy(F.col("ingresos").desc(), "sku"), k)
+    return best.select("nombre", "marca", "categoria", "unidades", "ingresos")
 
 
-def income_by_category(top: DataFrame, brands: Sequence[str] | None = None) -> DataFrame:
-    return _chosen(top, "marca", brands).groupBy("categoria").agg(F.sum("ingresos").alias("ingresos"))
+def income_by_category(
+    top: DataFrame, brands: Sequence[str] | None = None, categories: Sequence[str] | None = None
+) -> DataFrame:
+    picked = _chosen(_chosen(top, "marca", brands), "categoria", categories)
+    return picked.groupBy("categoria").agg(F.sum("ingresos").alias("ingresos"))
 
 
 def demand_by(attributes: DataFrame, kind: str = "talla") -> DataFrame:
@@ -83,12 +87,17 @@ def demand_by(attributes: DataFrame, kind: str = "talla") -> DataFrame:
     return attributes.where(F.col("tipo") == kind).select("valor", "unidades", "ingresos", "ranking")
 
 
+def critical_stock(stock: DataFrame) -> DataFrame:
+    """The whole table, the scarcest variants first."""
+    return stock.orderBy("stock_disponible", "variante_id", "bodega")
+
+
 def return_percent(rates: DataFrame) -> DataFrame:
-    """Return rate in percent, and beside it the share of orders with the product that came back."""
+    """Return rate in percent, and beside it the share of orders with the product that came back; most returns first."""
     per_order = F.when(
         F.col("pedidos_con_producto") > 0, F.col("devoluciones").cast("double") / F.col("pedidos_con_producto")
     )
-    return rates.select(
+    return rates.orderBy(F.col("devoluciones").desc(), "producto_id").select(
         "producto_id",
         "nombre",
         "unidades_vendidas",
@@ -113,17 +122,15 @@ def spend_by_segment(customers: DataFrame) -> DataFrame:
     return customers.groupBy("segmento").agg(F.sum("gasto_total").alias("gasto_total"))
 
 
-def top_customers(customers: DataFrame, k: int = 15, segments: Sequence[str] | None = None) -> DataFrame:
-    return (
-        _chosen(customers, "segmento", segments)
-        .orderBy(F.col("gasto_total").desc(), "cliente_id")
-        .limit(k)
-        .select("cliente_id", "nombre", "ciudad", "pedidos", "gasto_total", "ticket_promedio", "segmento")
+def top_customers(customers: DataFrame, k: int | None = 15, segments: Sequence[str] | None = None) -> DataFrame:
+    best = _chosen(customers, "segmento", segments).orderBy(F.col("gasto_total").desc(), "cliente_id")
+    return _first(best, k).select(
+        "cliente_id", "nombre", "ciudad", "pedidos", "gasto_total", "ticket_promedio", "segmento"
     )
 
 
-def abandoned_top(carts: DataFrame, k: int = 15) -> DataFrame:
-    return carts.orderBy(F.col("carritos_abandonados").desc(), F.col("sku").asc_nulls_last()).limit(k)
+def abandoned_top(carts: DataFrame, k: int | None = 15) -> DataFrame:
+    return _first(carts.orderBy(F.col("carritos_abandonados").desc(), F.col("sku").asc_nulls_last()), k)
 
 
 def stream_kpis(activity: DataFrame, alerts: DataFrame, rules: ShopRules = DEFAULT_RULES) -> DataFrame:
@@ -139,9 +146,9 @@ def activity_by_events(activity: DataFrame) -> DataFrame:
     return activity.orderBy(F.col("eventos").desc(), "event_type")
 
 
-def latest_alerts(alerts: DataFrame, k: int = 20) -> DataFrame:
+def latest_alerts(alerts: DataFrame, k: int | None = 20) -> DataFrame:
     newest = [F.col("ts").desc(), F.col("sku").asc_nulls_last(), F.col("stock_actual").asc_nulls_first()]
-    return alerts.orderBy(*newest).limit(k).select("ts", "sku", "stock_actual", "umbral", "severidad")
+    return _first(alerts.orderBy(*newest), k).select("ts", "sku", "stock_actual", "umbral", "severidad")
 
 
 def _weighted_price() -> Column:
@@ -156,22 +163,29 @@ def external_kpis(benchmark: DataFrame) -> DataFrame:
     )
 
 
+def external_benchmark(benchmark: DataFrame) -> DataFrame:
+    """The whole table, the groups with most products first."""
+    return benchmark.orderBy(F.col("productos").desc(), "categoria", "marca", "categoria_origen")
+
+
 def external_price_by_brand(benchmark: DataFrame) -> DataFrame:
-    return benchmark.groupBy("marca").agg(
+    """Mean price of every brand, the dearest first."""
+    prices = benchmark.groupBy("marca").agg(
         F.sum("productos").alias("productos"), _weighted_price().alias("precio_medio")
     )
+    return prices.orderBy(F.col("precio_medio").desc(), "marca")
 
 
 def _rows(layer: str) -> Column:
     return F.aggregate(F.map_values(layer), F.lit(0).cast("bigint"), lambda total, n: total + n).alias(f"filas_{layer}")
 
 
-def run_history(runs: DataFrame, k: int = 8, kept: int = 50) -> DataFrame:
+def run_history(runs: DataFrame, k: int | None = 8, kept: int = 50) -> DataFrame:
     """The newest ``k`` runs with their rows per layer, and the number of failed runs among the ``kept`` newest."""
     newest = runs.orderBy(F.col("inicio").desc(), F.col("fin").desc())
     failed = newest.limit(kept).where(F.col("estado") == "error").agg(F.count(F.lit(1)))
     return (
-        newest.limit(k)
+        _first(newest, k)
         .select("inicio", "fin", "duracion_s", "estado", *[_rows(layer) for layer in ("bronze", "silver", "gold")], "error")
         .withColumn("errores", failed.scalar())
     )
@@ -186,6 +200,7 @@ REPORTS: Mapping[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "top_products": (top_products, ("gold_top_productos",)),
     "income_by_category": (income_by_category, ("gold_top_productos",)),
     "demand_by": (demand_by, ("gold_ventas_por_talla",)),
+    "critical_stock": (critical_stock, ("gold_stock_critico",)),
     "return_percent": (return_percent, ("gold_tasa_devolucion",)),
     "segment_kpis": (segment_kpis, ("gold_clientes_valor",)),
     "spend_by_segment": (spend_by_segment, ("gold_clientes_valor",)),
@@ -195,6 +210,7 @@ REPORTS: Mapping[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "activity_by_events": (activity_by_events, ("gold_actividad_stream",)),
     "latest_alerts": (latest_alerts, ("gold_alertas",)),
     "external_kpis": (external_kpis, ("gold_catalogo_externo",)),
+    "external_benchmark": (external_benchmark, ("gold_catalogo_externo",)),
     "external_price_by_brand": (external_price_by_brand, ("gold_catalogo_externo",)),
     "run_history": (run_history, ("runs",)),
 }

@@ -492,6 +492,12 @@ _STATEMENTS = {
         SELECT categoria, CAST(sum(ingresos) AS DOUBLE) AS ingresos FROM top GROUP BY categoria""",
     "report_demand_by_size": """
         SELECT valor, unidades, CAST(ingresos AS DOUBLE) AS ingresos, ranking FROM atributos WHERE tipo = 'talla'""",
+    "report_demand_by_color": """
+        SELECT valor, unidades, CAST(ingresos AS DOUBLE) AS ingresos, ranking FROM atributos WHERE tipo = 'color'""",
+    "report_top_products_filtered": """
+        SELECT nombre, marca, categoria, unidades, CAST(ingresos AS DOUBLE) AS ingresos
+        FROM top WHERE categoria IN ('economy', 'medium')""",
+    "report_critical_stock": f"SELECT * REPLACE ({_doubles('valor_riesgo')}) FROM critico",
     "report_return_pct": """
         SELECT producto_id, nombre, unidades_vendidas, devoluciones,
             round(coalesce(tasa_devolucion, 0) * 100, 1) AS pct_devolucion,
@@ -516,6 +522,8 @@ _STATEMENTS = {
     "report_latest_alerts": """
         SELECT ts, sku, stock_actual, umbral, severidad FROM alertas
         ORDER BY ts DESC NULLS LAST, sku ASC NULLS LAST, stock_actual ASC NULLS FIRST LIMIT 20""",
+    "report_activity": "SELECT * FROM actividad",
+    "report_external_benchmark": "SELECT * FROM referencia",
     "report_external_kpis": """
         SELECT CAST(sum(productos) AS BIGINT) AS productos,
             CAST(sum(CAST(precio_medio AS DECIMAL(18, 2)) * productos) AS DOUBLE) / sum(productos) AS precio_medio,

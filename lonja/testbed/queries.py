@@ -110,15 +110,23 @@ class Shop:
         return silver.external_catalog(self.raw("catalogo_api"))
 
     @cached_property
-    def order_view(self) -> DataFrame:
+    def known_variants(self) -> DataFrame:
+        """Valid variants, stored for queries that use them several times."""
+        return self.stage.keep(self.variants.accepted, "variantes")
+
+    def order_view_of(self, orders: DataFrame) -> DataFrame:
         return silver.order_view(
-            self.orders.accepted,
+            orders,
             self.order_lines.accepted,
             silver.payments(self.raw("pagos")),
-            self.stage.keep(self.variants.accepted, "variantes"),
+            self.known_variants,
             self.stage.keep,
         )
 
+    @cached_property
+    def order_view(self) -> DataFrame:
+        return self.order_view_of(self.orders.accepted)
+
     @property
     def checked(self) -> dict[str, Checked]:
         return {
@@ -148,12 +156,12 @@ class Shop:
     @cached_property
     def top(self) -> DataFrame:
         return gold.top_products(
-            self.sales, self.variants.accepted, self.products.accepted, RULES, keep=self.stage.keep
+            self.sales, self.known_variants, self.products.accepted, RULES, keep=self.stage.keep
         )
 
     @cached_property
     def attributes(self) -> DataFrame:
-        return gold.sales_by_attribute(self.sales, self.variants.accepted, keep=self.stage.keep)
+        return gold.sales_by_attribute(self.sales, self.known_variants, keep=self.stage.keep)
 
     @cached_property
     def funnel(self) -> DataFrame:
@@ -165,12 +173,15 @@ class Shop:
 
     @cached_property
     def stock(self) -> DataFrame:
-        return gold.critical_stock(self.inventory.accepted, self.variants.accepted, self.products.accepted, RULES)
+        inventory = silver.inventory(self.raw("inventario"), self.known_variants)
+        return gold.critical_stock(inventory.accepted, self.known_variants, self.products.accepted, RULES)
 
     @cached_property
     def rates(self) -> DataFrame:
+        orders = self.stage.keep(self.orders.accepted, "pedidos")  # for the order view and for the returns
+        returns = silver.returns(self.raw("devoluciones"), orders)
         return gold.return_rate(
-            self.order_view, self.returns.accepted, self.products.accepted, RULES, keep=self.stage.keep
+            self.order_view_of(orders), returns.accepted, self.products.accepted, RULES, keep=self.stage.keep
         )
 
     @cached_property
@@ -377,6 +388,9 @@ _QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "report_top_products": lambda s: reports.top_products(s.top),
     "report_income_by_category": lambda s: reports.income_by_category(s.top),
     "report_demand_by_size": lambda s: reports.demand_by(s.attributes, "talla"),
+    "report_demand_by_color": lambda s: reports.demand_by(s.attributes, "color"),
+    "report_top_products_filtered": lambda s: reports.top_products(s.top, None, categories=["economy", "medium"]),
+    "report_critical_stock": lambda s: reports.critical_stock(s.stock),
     "report_return_pct": lambda s: reports.return_percent(s.rates),
     "report_segment_kpis": lambda s: reports.segment_kpis(s.value, ["frecuente", "recurrente"]),
     "report_spend_by_segment": lambda s: reports.spend_by_segment(s.value),
@@ -384,6 +398,8 @@ _QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "report_abandoned_top": lambda s: reports.abandoned_top(s.carts),
     "report_stream_kpis": lambda s: reports.stream_kpis(s.activity, s.alerts, RULES),
     "report_latest_alerts": lambda s: reports.latest_alerts(s.alerts),
+    "report_activity": lambda s: reports.activity_by_events(s.activity).drop("procesado_en"),
+    "report_external_benchmark": lambda s: reports.external_benchmark(s.benchmark),
     "report_external_kpis": lambda s: reports.external_kpis(s.benchmark),
     "report_external_price_by_brand": lambda s: reports.external_price_by_brand(s.benchmark),
     "report_run_history": lambda s: reports.run_history(s.raw("runs")),

@@ -1,4 +1,6 @@
+import argparse
 import json
+import shutil
 from datetime import datetime
 from decimal import Decimal
 
@@ -6,11 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from lonja import schemas
+from lonja.__main__ import REPORT_OPTIONS, report_options
 from lonja.plans import reports, runner
 from lonja.rules import ShopRules
 from lonja.settings import Settings
 from lonja.sources import Database, Lake, MissingTable, Split, file_manifest, stamped, text_events, write_snapshot
-from lonja.sources.feeds import read_suppliers
+from lonja.sources.feeds import read_returns_history, read_suppliers
+from lonja.sources.landing import land_csv
 from lonja.sources.lake import read_snapshots, read_table
 from lonja.streaming import LiveSinks, start
 
@@ -186,6 +190,45 @@ def test_supplier_array(spark, raw):
     assert read_suppliers(spark, f"{raw}/proveedores.json").count() == 2
 
 
+def test_csv_columns_are_bound_by_name(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.csv").write_text("orden_ref,fecha,nota\nH-1,2024-01-02,extra\n")
+    landed = str(tmp_path / "landed")
+    land_csv(spark, str(tmp_path / "raw"), landed, schemas.RETURNS_HISTORY)
+    for rows in (
+        read_returns_history(spark, str(tmp_path / "raw")),
+        read_returns_history(spark, landed, landed=True).drop("_archivo"),
+    ):
+        assert [row.asDict() for row in rows.collect()] == [{"fecha": "2024-01-02", "orden_ref": "H-1", "motivo": None}]
+    assert spark.read.option("header", True).csv(landed).first().nota == "extra"
+    (tmp_path / "raw" / "b.csv").write_text("fecha,orden_ref,nota\n2024-01-03,H-2,x\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_returns_history(spark, str(tmp_path / "raw")).collect()
+
+
+def test_a_folder_without_csv_files_is_empty(spark, tmp_path):
+    assert read_returns_history(spark, str(tmp_path)).count() == 0
+
+
+def test_the_event_backfill_may_be_missing(spark, raw, tmp_path):
+    other = tmp_path / "other"
+    shutil.copytree(raw, other, ignore=shutil.ignore_patterns("eventos_web"))
+    lake = Lake(str(tmp_path / "lake"))
+    runner.ingest_files(spark, str(other), lake)
+    assert spark.read.parquet(lake.bronze("_manifiesto")).count() == 4
+
+
+def test_exports_hold_all_rows(rows):
+    carts = rows("carritos_abandonados INT, sku STRING", *[(i, str(i)) for i in range(150)])
+    parsed = argparse.Namespace(name="abandoned_top", csv="out", **dict.fromkeys(REPORT_OPTIONS))
+    assert reports.abandoned_top(carts, **report_options(parsed)).count() == 150
+    parsed.k = 3
+    assert reports.abandoned_top(carts, **report_options(parsed)).count() == 3
+    parsed.brand = ["x"]
+    with pytest.raises(ValueError, match="brands"):
+        report_options(parsed)
+
+
 def test_csv_export(spark, rows, tmp_path):
     path = str(tmp_path / "out")
     reports.write_csv(rows("a INT, b STRING", (1, "x,y"), (2, None)), path)
