@@ -42,7 +42,7 @@ from lonja.operators.staging import Stage
 COORDINATES = 64
 MATCHES = 38
 SHORT = 16
-CHOSEN = 1
+CHOSEN = 3
 ROUNDS = 1
 
 _random = np.random.default_rng(20)
