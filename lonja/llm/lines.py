@@ -1,17 +1,19 @@
 """Substring deduplication by hashing lines and the sentences of long lines.
 
-A text is cut into units: at every line break, and inside a line after a sentence end, unless the sentence is shorter than
-``least_words`` (it then belongs to the next unit, or to the one before at the end of a line). Long sentences are cut further after
-words chosen by their hash. The cuts depend on the words near them alone, so a passage gives the same units wherever it stands. A unit's
-digest is taken over its words, lower-cased, without punctuation. Digests are grouped over the whole corpus; of each, the occurrence with the smallest (doc_id, offset) stays and
-all others are removed. What is left keeps its text; the removed spans are given with their original offsets (in code points).
+A text is cut into units: at every line break, and inside a line after a sentence end (after the full stops of Chinese and Japanese
+also without a space). A whole line is a unit however short it is. Inside a line, sentences of fewer than ``least_words`` words are
+put together; if that gives fewer still, the unit is compared together with the words of the next one (at the end of a line, of the
+one before), which has a digest of its own words besides. Long sentences are cut further after words chosen by their hash. The cuts
+depend on the words near them alone, so a passage gives the same units wherever it stands. A unit's digest is taken over its words,
+lower-cased, without punctuation; a Chinese character or a kana counts as a word. A line without words is taken as it is. Digests are
+grouped over the whole corpus; of each, the occurrence with the smallest (doc_id, offset) stays and all others are removed. What is
+left keeps its text; the removed spans are given with their original offsets (in code points).
 
 The shuffles carry digests and places, not texts: the groups are made by partial aggregation, so a unit that a third of all
 documents hold sends one row per task; only digests that occur more than once are joined back, with one row per digest on
 their side, so that the other side can be split. The text moves once, to meet its document's spans.
 
-Defined cases: a null text stays null and has no units; units of fewer than ``least_words`` words are never removed; repeats
-within a document count; repeated rows (equal id) are told apart by a number, and the first keeps its text; rows with a null id
+Defined cases: a null text stays null and has no units; a line of white space alone is no unit; repeats within a document count; repeated rows (equal id) are told apart by a number, and the first keeps its text; rows with a null id
 come last in the order; a text that loses all units is empty; an empty table gives an empty result; other columns are not
 looked at.
 """
@@ -36,8 +38,10 @@ LEAST_WORDS = 5
 LONG_SENTENCE = 24
 LEAST_PIECE = 6
 ONE_IN = 4
-_SENTENCE = re.compile(r"[.!?…。！？]+[\"')\]»”’]*(?:\s+|$)")
-_WORD = re.compile(r"\w+")
+_SENTENCE = re.compile(r"[.!?…]+[\"')\]»”’]*(?:\s+|$)|[。！？｡]+[\"')\]»”’」』）]*\s*")
+# A character of a script without spaces (kana, Chinese) is a word of its own.
+_UNSPACED = "\u3041-\u3096\u30a1-\u30fa\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[{_UNSPACED}]|[^\W{_UNSPACED}]+")
 
 
 def _sentence(line: str, start: int, end: int) -> Iterator[tuple[int, int, list[str]]]:
@@ -66,31 +70,36 @@ def _pieces(line: str) -> Iterator[tuple[int, int, list[str]]]:
 
 
 def _line_units(line: str, start: int, least_words: int) -> Iterator[tuple[int, int, list[str]]]:
-    """(start, end, words) of the units of one line; they cover it whole."""
+    """(start, end, words to compare) of the units of one line; they cover it whole."""
     begin, held, before = 0, [], None
-    for _, end, words in _pieces(line):
+    for first, end, words in _pieces(line):
+        if held and len(words) >= least_words:
+            if before:
+                yield before
+            before = (start + begin, start + first, held + words)
+            begin, held = first, []
         held = held + words if held else words
         if len(held) >= least_words:
             if before:
                 yield before
             before = (start + begin, start + end, held)
             begin, held = end, []
-    if before and len(held) < least_words:
-        yield before[0], start + len(line), before[2] + held
-    else:
-        if before:
-            yield before
-        if begin < len(line):
-            yield start + begin, start + len(line), held
+    if before and not held:  # what has no words goes with the unit before
+        yield before[0], start + len(line), before[2]
+    elif before:
+        yield before
+        yield start + begin, start + len(line), before[2] + held
+    elif line:
+        yield start, start + len(line), held
 
 
 def units(text: str, least_words: int = LEAST_WORDS) -> Iterator[tuple[int, int, bytes]]:
-    """Start, end and digest of the units with at least ``least_words`` words."""
+    """Start, end and digest of the units. ``least_words`` holds for sentences inside a line."""
     start = 0
     for line in text.split("\n"):
-        for begin, end, words in _line_units(line, start, least_words):
-            if len(words) >= least_words:
-                yield begin, end, xxhash.xxh3_128_digest(" ".join(words).lower())
+        if not line.isspace():
+            for begin, end, words in _line_units(line, start, least_words):
+                yield begin, end, xxhash.xxh3_128_digest((" ".join(words) or line.strip()).lower())
         start += len(line) + 1
 
 

@@ -369,5 +369,24 @@ def test_repeats_against_a_plain_pass(odd, written, stage):
     assert Counter((r.doc_id, r.text) for r in found.collect()) == expected
 
 
+def test_whole_lines_of_any_length_are_compared(spark, written, stage):
+    lines_of = ["All rights reserved", "* * *", "QmFzZTY0QmFzZTY0QmFzZTY0", "今日は雨です", "  ", ""]
+    first = "\n".join(lines_of)
+    docs = written(spark.createDataFrame([(1, first), (2, "own\n" + first), (3, first.upper() + "\nmy own")], "doc_id long, text string"))
+    assert {r.doc_id: r.text for r in lines.drop_repeats(docs, stage).collect()} == {1: first, 2: "own\n  \n", 3: "  \n\nmy own"}
+
+
+def test_sentences_end_without_a_space_and_beside_short_ones():
+    same = "昨日は友達と公園へ行きました。"
+    one, other = f"今日は雨が降っています。{same}", f"明日は晴れると思います！{same}"
+    digests = [{text[s:e]: d for s, e, d in lines.units(text)} for text in (one, other)]
+    assert digests[0][same] == digests[1][same]
+    long = "this is a sentence of eight words here."
+    text = f"Yes. {long}"
+    digests = {text[s:e]: d for s, e, d in lines.units(text)}
+    assert list(digests) == ["Yes. ", long] and digests[long] == next(lines.units(long))[2]
+    assert [text[s:e] for text in (long + " ***",) for s, e, _ in lines.units(text)] == [long + " ***"]
+
+
 def test_repeats_of_nothing(none, stage):
     assert lines.drop_repeats(none, stage).count() == 0
