@@ -1,11 +1,13 @@
 """Sharding by balanced label propagation.
 
 Documents are linked through hubs: all members of a hub are linked with each other, so that a large group needs no pairs.
-Every document starts in a shard given by the hash of its id. In each round a hub's shards are counted, its members want
-to go where most of them are, and every shard takes in what its quota (an even share and a twentieth) has room for: wishes are granted by the hash of
-the hub, so that a hub moves as a whole if it moves, and a shard that gets more wishes than room grants that share of
-them. Finally the rows are laid out by shard and hub and cut into shards whose row counts differ by one at most (the law
-``rows``), which splits a hub only where a cut falls into it, or where it is larger than a shard.
+Every document starts in a shard given by the hash of its id. Hubs larger than a shard's even share are laid out first, over as many
+whole shards as they fill, and take no part in the rounds. In each round a hub's shards are counted, its members want to go where most
+of them are, and every shard takes in what its quota (an even share of the other rows and a twentieth) has room for: wishes are granted
+by the hash of the hub, so that a hub moves as a whole if it moves, and a shard that gets more wishes than room grants that share of
+them. A hub that is refused in all rounds gets the shard of its largest part as its home all the same, so no hub stays scattered. Finally
+the rows are laid out by shard and hub and cut into shards whose row counts differ by one at most (the law ``rows``). A hub lies in one
+piece there and is split only where a cut falls into it: of the hubs that fit in a shard, at most one for each of the cuts.
 
 Only the counts per shard (shards x shards numbers) reach the driver. The rows of a hub are never brought together: they
 are counted by partial sums, and the layout is a sort by range that splits within a hub.
@@ -42,14 +44,21 @@ def _first_of(shard: Column, rows: int, shards: int) -> Column:
 
 
 def propagate(members: DataFrame, stage: Stage, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """Home shard of every hub that has come together: hub, home. ``members`` has hub and shard, one row per document.
+    """Home shard of every hub with more than one member: hub, home. ``members`` has hub and shard, one row per document. Hubs larger
+    than a shard have the home -1, ahead of all shards.
 
     The state is one row per hub and shard with its number of members, for hubs with more than one member."""
-    counted = members.groupBy("hub", "shard").agg(F.count(F.lit(1)).alias("n"))
-    held = {r["shard"]: r["n"] for r in members.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counted = stage.keep(members.groupBy("hub", "shard").agg(F.count(F.lit(1)).alias("n")), "counted")
+    sizes = counted.groupBy("hub").agg(F.sum("n").alias("all"))
+    share = (counted.agg(F.sum("n")).first()[0] or 0) / shards
+    # Fewer than ``shards`` hubs are larger than an even share, so the list is small.
+    large = sizes.where((F.col("all") > share) & (F.col("all") > 1)).select("hub", F.lit(-1).alias("home"))
+    large = stage.keep(large, "large")
+    others = counted.join(F.broadcast(large), "hub", "left_anti")
+    held = {r["shard"]: r["n"] for r in others.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
     quota = sum(held.values()) / shards
     room = 1.05 * quota
-    linked = counted.join(counted.groupBy("hub").agg(F.sum("n").alias("all")).where("all > 1").select("hub"), "hub")
+    linked = others.join(sizes.where("all > 1").select("hub"), "hub")
     for number in range(rounds):
         linked = stage.keep(linked, f"hubs_{number}")
         # Where most members are; among equals by chance, anew in each round, so that no shard is asked for more than others.
@@ -70,7 +79,8 @@ def propagate(members: DataFrame, stage: Stage, shards: int = SHARDS, rounds: in
             held[r["home"]] = held.get(r["home"], 0) + r["n"]
             held[r["shard"]] -= r["n"]
         linked = moves.groupBy("hub", F.expr("if(goes, home, shard)").alias("shard")).agg(F.sum("n").alias("n"))
-    return linked.groupBy("hub").agg(F.max("shard").alias("home"), F.count(F.lit(1)).alias("parts")).where("parts = 1").drop("parts")
+    largest = F.max_by("shard", F.struct("n", F.xxhash64("hub", "shard"))).alias("home")
+    return linked.groupBy("hub").agg(largest).unionByName(large)
 
 
 def shard(docs: DataFrame, stage: Stage, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:

@@ -286,6 +286,18 @@ def test_shards_are_even_and_keep_groups(spark, odd, written, stage):
     assert sum(len(s) > 1 for s in where.values()) <= 16
 
 
+def test_a_hub_of_a_third_of_the_rows_splits_no_others(spark, written, stage):
+    texts = ["hot"] * 4000 + [f"group {i}" for i in range(1000) for _ in range(2 + i % 9)] + [f"single {i}" for i in range(2000)]
+    docs = written(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    where, rows = defaultdict(set), Counter()
+    for r in sharding.shard(docs, stage).collect():
+        where[r.hub].add(r.shard)
+        rows[r.shard] += 1
+    hot = where.pop(hashlib.md5(b"hot").hexdigest())
+    assert len(hot) == -(-4000 // min(rows.values())) and max(rows.values()) - min(rows.values()) <= 1
+    assert sum(len(s) > 1 for s in where.values()) <= 15
+
+
 def test_shards_of_few_and_no_rows(odd, none, stage):
     rows = sharding.shard(odd.limit(3), stage).collect()
     assert sorted(r.shard for r in rows) == [0, 1, 2] and {r.slot for r in rows} == {0}
