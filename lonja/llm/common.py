@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lonja.operators.staging import Stage
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,6 +20,11 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
+def placed(docs: DataFrame, stage: Stage, name: str) -> DataFrame:
+    """``docs`` with every row's place, written once: another scan of the files can be split differently and number them differently."""
+    return stage.keep(docs.withColumn(name, F.monotonically_increasing_id()), "placed")
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's text, modulo ``modulus``; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))

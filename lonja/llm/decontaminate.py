@@ -23,7 +23,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lonja.llm.common import table, texts
+from lonja.llm.common import placed, table, texts
 from lonja.operators.staging import Stage
 
 WINDOW = 5
@@ -70,15 +70,17 @@ def windows(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, stage: Stage, share: float = SHARE, most_broadcast: int = 1_000_000
+    docs: DataFrame, benchmark: DataFrame, stage: Stage, share: float = SHARE, most_broadcast: int = 1_000_000,
+    place: str | None = None,
 ) -> DataFrame:
-    """doc_id, place, item_id, found and all_windows (of the item), first_word, last_word (of the document), altered (slots differ)."""
+    """doc_id, place, item_id, found and all_windows (of the item), first_word, last_word (of the document), altered (slots differ).
+    ``place`` is the column of stored rows that holds it; without one it tells rows apart within the result and means nothing beyond."""
     items = windows(benchmark.select("item_id", F.col("text").cast("string").alias("text")), ["item_id"])
     telling = F.size(F.filter("slots", lambda s: s == 0)) >= 3
     items = stage.keep(items.where(telling).withColumnsRenamed({"position": "item_position", "slots": "item_slots"}), "items")
     sizes = items.groupBy("item_id").agg(F.count_distinct("item_position").alias("all_windows"))
     small = items.count() <= most_broadcast
-    of_docs = windows(texts(docs).withColumn("place", F.monotonically_increasing_id()), ["doc_id", "place"])
+    of_docs = windows(texts(docs, (F.col(place) if place else F.monotonically_increasing_id()).alias("place")), ["doc_id", "place"])
     met = of_docs.join(F.broadcast(items) if small else items, "window")
     pairs = F.filter(F.arrays_zip("item_slots", "slots"), lambda pair: pair["slots"] != 0)
     met = met.select("doc_id", "place", "item_id", "item_position", "position", pairs.alias("pairs"))
@@ -105,8 +107,9 @@ def contaminated(
 
 def clean(docs: DataFrame, benchmark: DataFrame, stage: Stage, share: float = SHARE) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item of the benchmark."""
-    numbered = docs.withColumn("_clean_place", F.monotonically_increasing_id())
-    hits = stage.keep(contaminated(docs, benchmark, stage, share).select(F.col("place").alias("_clean_place")).distinct(), "hits")
+    numbered = placed(docs, stage, "_clean_place")
+    found = contaminated(numbered, benchmark, stage, share, place="_clean_place")
+    hits = stage.keep(found.select(F.col("place").alias("_clean_place")).distinct(), "hits")
     return numbered.join(hits, "_clean_place", "left_anti").drop("_clean_place")
 
 

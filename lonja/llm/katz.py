@@ -107,7 +107,7 @@ def _tokens(text: str | None) -> np.ndarray:
 
 def _chunks(incoming: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Chunk number and [doc_id, has_id, learned, lengths, words, ids], for columns doc_id, learned, text. ``ids`` are the tokens as
-    places in ``words``, the most frequent first. The same input gives the same chunks."""
+    places in ``words``, the most frequent first."""
     chunk, held, size = TaskContext.get().partitionId() << 12, [], 0
     for batch in incoming:
         for doc_id, learned, text in zip(*[column.to_pylist() for column in batch.columns]):
@@ -168,10 +168,12 @@ def _owners(words: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
 def _word_packets(parts: int):
     def work(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = _arrow(PACKET)
-        for chunk, (_, _, learned, lengths, words, ids) in _chunks(incoming):
-            counts = np.bincount(ids[np.repeat(learned, lengths) > 0], minlength=len(words)).astype(np.uint32)
-            for part, mine in _owners(words, parts):
-                yield _batch(schema, {"part": [part], "chunk": [chunk], "payload": [_packed(words[mine], counts[mine])]})
+        for batch in incoming:
+            for chunk, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
+                _, _, learned, lengths, words, ids = _unpacked(payload.as_py())
+                counts = np.bincount(ids[np.repeat(learned, lengths) > 0], minlength=len(words)).astype(np.uint32)
+                for part, mine in _owners(words, parts):
+                    yield _batch(schema, {"part": [part], "chunk": [chunk], "payload": [_packed(words[mine], counts[mine])]})
 
     return work
 
@@ -348,7 +350,9 @@ def score(docs: DataFrame, learned: Column, stage: Stage) -> DataFrame:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = 1 + size // (6 * PARTITION_TOKENS)
     hot = PARTITION_TOKENS // 3
-    sent = rows.mapInArrow(_word_packets(parts), PACKET)
+    # Stored, since both steps must see the same chunks: another scan of the input can be split differently.
+    chunks = stage.keep(rows.mapInArrow(_chunk_packets, PACKET), "chunks")
+    sent = chunks.select("chunk", "payload").mapInArrow(_word_packets(parts), PACKET)
     totals = stage.keep(sent.groupBy("part").applyInArrow(_word_totals, TOTALS), "totals")
     names = ["tokens", "types", *[f"r{r}" for r in range(1, LARGEST + 2)]]
     tokens_all, types_all, *types = [x or 0 for x in totals.agg(*[F.sum(name) for name in names]).first()]
@@ -357,8 +361,7 @@ def score(docs: DataFrame, learned: Column, stage: Stage) -> DataFrame:
     kept = sum(n * left_words[r] for r, n in enumerate(few, 1))
     kept += tokens_all - sum(r * n for r, n in enumerate(few, 1)) - TENTH * (types_all - sum(few))
     unknown = 1 - kept / tokens_all if tokens_all else 1.0
-    chunks = rows.mapInArrow(_chunk_packets, PACKET).groupBy("chunk")
-    pairs = chunks.cogroup(totals.select("chunk", "part", "counts").groupBy("chunk")).applyInArrow(
+    pairs = chunks.groupBy("chunk").cogroup(totals.select("chunk", "part", "counts").groupBy("chunk")).applyInArrow(
         _pair_packets(parts, parts, tokens_all, types_all, hot), PACKET
     )
     terms = pairs.groupBy("part").applyInArrow(_pair_terms(tokens_all, left_words, unknown, hot), TERMS)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lonja.llm.common import batches, table, texts
+from lonja.llm.common import batches, placed, table, texts
 from lonja.operators.staging import Stage
 
 LEAST_WORDS = 5
@@ -132,8 +132,8 @@ def repeats(rows: DataFrame, stage: Stage, least_words: int = LEAST_WORDS) -> Da
 def drop_repeats(docs: DataFrame, stage: Stage, least_words: int = LEAST_WORDS) -> DataFrame:
     """All columns of ``docs`` with what is left of the text, and removed_spans: structs of start and end in text order, or null.
 
-    Rows are told apart by their place in the input, which is the same in every scan of the files: ``docs`` is a table that is read."""
-    numbered = docs.withColumn("_lines_place", F.monotonically_increasing_id())
+    Rows are told apart by their place in the input, which is stored with them."""
+    numbered = placed(docs, stage, "_lines_place")
     spans = repeats(texts(numbered, F.col("_lines_place").alias("place")), stage, least_words).groupBy("place")
     spans = spans.agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_lines_spans"))
     joined = numbered.join(spans.withColumnRenamed("place", "_lines_place"), "_lines_place", "left").drop("_lines_place")

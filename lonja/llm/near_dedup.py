@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lonja.llm.common import batches, table, texts
+from lonja.llm.common import batches, placed, table, texts
 from lonja.llm.components import stars
 from lonja.operators.staging import Stage
 
@@ -231,9 +231,12 @@ def components(nodes: DataFrame, rows: DataFrame, stage: Stage) -> DataFrame:
     return found
 
 
-def near_duplicates(docs: DataFrame, stage: Stage) -> DataFrame:
-    """place (of the row in ``docs``), doc_id, n_shingles, component_id, kept and component (a number of its own) for every row."""
-    rows = texts(docs).withColumn("place", F.monotonically_increasing_id()).select("place", "doc_id", "text")
+def near_duplicates(docs: DataFrame, stage: Stage, place: str | None = None) -> DataFrame:
+    """place, doc_id, n_shingles, component_id, kept and component (a number of its own) for every row. ``place`` is the column of
+    stored rows that holds it; without one, the rows are numbered and stored here."""
+    if place is None:
+        docs, place = placed(texts(docs), stage, "_near_place"), "_near_place"
+    rows = texts(docs, F.col(place).alias("place")).select("place", "doc_id", "text")
     signed = batches(rows, _signed, "place long, doc_id long, n_shingles long, digest binary, signature array<bigint>")
     signed = stage.keep(signed, "signed")
     nodes = signed.where(F.col("digest").isNotNull()).groupBy("digest").agg(
@@ -255,8 +258,8 @@ def near_duplicates(docs: DataFrame, stage: Stage) -> DataFrame:
 
 def one_of_each(docs: DataFrame, stage: Stage) -> DataFrame:
     """The rows of ``docs`` with one document of each group: that with the smallest id, of repeated rows the first."""
-    numbered = docs.withColumn("_near_place", F.monotonically_increasing_id())
-    judged = near_duplicates(docs, stage)
+    numbered = placed(docs, stage, "_near_place")
+    judged = near_duplicates(numbered, stage, "_near_place")
     stay = judged.groupBy("component").agg(F.min_by("place", F.struct(~F.col("kept"), "place")).alias("_near_place"))
     return numbered.join(stay.select("_near_place"), "_near_place", "left_semi").drop("_near_place")
 
