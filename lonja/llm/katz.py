@@ -17,7 +17,8 @@ partitions by history, with counts and the texts they stand in; a history with v
 up the counts and gives each text the sum of its terms. The discounts of pairs are known only after all partitions are done, so a
 text's terms are kept as a sum and as numbers of pairs seen once, twice, ... five times, and the weights a(h) come from sums per
 history by a plain aggregation and a join. All exchanges carry what a chunk has once, packed in arrays; the number of partitions
-follows the number of tokens, and so does everything that is gathered. The counts of a partition are a table in the stage's folder.
+follows the number of tokens, and so does everything that is gathered. What is stored are the chunks, the totals of words without the words, and the sums per text and
+history; the counts of pairs live in a partition's task only. So the model is not kept: no text outside the call can be scored.
 
 Defined cases: a null or empty text has the end token alone; repeated rows count and are scored as often as they occur; words and
 pairs are told apart by 64-bit and 48-bit hashes within a partition; without any training text every token is the unknown word
