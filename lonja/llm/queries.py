@@ -4,9 +4,21 @@ from __future__ import annotations
 
 import re
 
-from lonja.llm import decontaminate, hosts, katz, language, lines, near_dedup, order_minhash, packing, quality, sharding
-
-_MODULES = (quality, packing, near_dedup, katz, order_minhash, language, hosts, sharding, decontaminate, lines)
+from lonja.llm import (
+    decontaminate,
+    hosts,
+    katz,
+    language,
+    lines,
+    near_dedup,
+    order_minhash,
+    packing,
+    periodic_runs,
+    quality,
+    sharding,
+)
+
+_MODULES = (quality, packing, near_dedup, katz, order_minhash, language, hosts, sharding, decontaminate, lines, periodic_runs)
 
 
 def queries():
