@@ -16,9 +16,10 @@ from lonja.llm import (
     periodic_runs,
     quality,
     sharding,
+    spelling,
 )
 
-_MODULES = (quality, packing, near_dedup, katz, order_minhash, language, hosts, sharding, decontaminate, lines, periodic_runs)
+_MODULES = (quality, packing, near_dedup, katz, order_minhash, language, hosts, sharding, decontaminate, lines, spelling, periodic_runs)
 
 
 def queries():
