@@ -7,6 +7,7 @@ import re
 from lonja.llm import (
     decontaminate,
     hosts,
+    html_template,
     katz,
     language,
     lines,
@@ -19,7 +20,7 @@ from lonja.llm import (
     spelling,
 )
 
-_MODULES = (quality, packing, near_dedup, katz, order_minhash, language, hosts, sharding, decontaminate, lines, spelling, periodic_runs)
+_MODULES = (quality, packing, near_dedup, katz, order_minhash, language, hosts, sharding, decontaminate, lines, spelling, html_template, periodic_runs)
 
 
 def queries():
