@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,18 @@ def placed(docs: DataFrame, stage: Stage, name: str) -> DataFrame:
     return stage.keep(docs.withColumn(name, F.monotonically_increasing_id()), "placed")
 
 
+def identified(docs: DataFrame, stage: Stage, file: str, row: str) -> DataFrame:
+    """``docs`` with two numbers that tell every row apart, the same in every scan: of rows read from Parquet files as they are, the file
+    (a 64-bit hash of its path) and the row's index in it. Rows that come from anything else are numbered and stored."""
+    kinds = set(re.findall(r"(?m)^[^\w\n]*(\w+)", docs._jdf.queryExecution().analyzed().toString()))
+    if kinds <= {"Relation", "Project", "Filter", "SubqueryAlias"} and docs.inputFiles():
+        try:
+            return docs.select("*", F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+        except AnalysisException:  # not Parquet, or a view that hides where its rows come from
+            pass
+    return placed(docs, stage, row).withColumn(file, F.lit(0).cast("long"))
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's text, modulo ``modulus``; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))

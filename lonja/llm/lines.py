@@ -11,10 +11,11 @@ left keeps its text; the removed spans are given with their original offsets (in
 
 The shuffles carry digests and places, not texts: the groups are made by partial aggregation, so a unit that a third of all
 documents hold sends one row per task; only digests that occur more than once are joined back, with one row per digest on
-their side, so that the other side can be split. The text moves once, to meet its document's spans.
+their side, so that the other side can be split. The text moves once, to meet its document's spans. Rows are known by their file and
+their index in it, so texts are not written again to be numbered.
 
-Defined cases: a null text stays null and has no units; a line of white space alone is no unit; repeats within a document count; repeated rows (equal id) are told apart by a number, and the first keeps its text; rows with a null id
-come last in the order; a text that loses all units is empty; an empty table gives an empty result; other columns are not
+Defined cases: a null text stays null and has no units; a line of white space alone is no unit; repeats within a document count; repeated rows (equal id) are told apart
+by their place in the files, and the first keeps its text; rows with a null id come last in the order; a text that loses all units is empty; an empty table gives an empty result; other columns are not
 looked at.
 """
 
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lonja.llm.common import batches, placed, table, texts
+from lonja.llm.common import batches, identified, table, texts
 from lonja.operators.staging import Stage
 
 LEAST_WORDS = 5
@@ -94,49 +95,52 @@ def _line_units(line: str, start: int, least_words: int) -> Iterator[tuple[int,
 
 
 def units(text: str, least_words: int = LEAST_WORDS) -> Iterator[tuple[int, int, bytes]]:
-    """Start, end and digest of the units. ``least_words`` holds for sentences inside a line."""
+    """Start, end and digest of the units. ``least_words`` holds for sentences inside a line. A unit that is a whole line ends behind the
+    line's break."""
     start = 0
     for line in text.split("\n"):
+        stop = start + len(line)
         if not line.isspace():
             for begin, end, words in _line_units(line, start, least_words):
-                yield begin, end, xxhash.xxh3_128_digest((" ".join(words) or line.strip()).lower())
-        start += len(line) + 1
+                whole = begin == start and end == stop < len(text)
+                yield begin, end + whole, xxhash.xxh3_128_digest((" ".join(words) or line.strip()).lower())
+        start = stop + 1
 
 
 def repeats(rows: DataFrame, stage: Stage, least_words: int = LEAST_WORDS) -> DataFrame:
-    """place, doc_id, start, end of every unit but the first of its digest. ``rows`` has doc_id, text and place."""
+    """file, row, start, end of every unit but the first of its digest. ``rows`` has doc_id, text, file and row."""
+    names = ("digest", "doc_id", "file", "row", "start", "end")
 
     def cut(batch: pa.RecordBatch) -> Iterator[dict]:
-        empty = {name: [] for name in ("digest", "doc_id", "place", "start", "end")}
-        out = {name: [] for name in empty}
-        for doc_id, text, place in zip(*[c.to_pylist() for c in batch.columns]):
+        out = {name: [] for name in names}
+        for doc_id, text, file, row in zip(*[c.to_pylist() for c in batch.columns]):
             for start, end, digest in units(text or "", least_words):
-                out["digest"].append(digest)
-                out["doc_id"].append(doc_id)
-                out["place"].append(place)
-                out["start"].append(start)
-                out["end"].append(end)
+                for name, value in zip(names, (digest, doc_id, file, row, start, end)):
+                    out[name].append(value)
             if len(out["start"]) >= 50_000:
                 yield out
-                out = {name: [] for name in empty}
+                out = {name: [] for name in names}
         yield out
 
-    found = stage.keep(batches(rows, cut, "digest binary, doc_id long, place long, start int, end int"), "units")
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place", "start")
+    found = batches(rows, cut, "digest binary, doc_id long, file long, row long, start int, end int")
+    found = stage.keep(found, "units")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "file", "row", "start")
     first = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("first")).where("n > 1")
-    first = stage.keep(first.select("digest", F.col("first.place").alias("first_place"), F.col("first.start").alias("first_start")), "first")
-    later = (F.col("place") != F.col("first_place")) | (F.col("start") != F.col("first_start"))
-    return found.join(first, "digest").where(later).select("place", "doc_id", "start", "end")
+    first = stage.keep(first.select("digest", *[F.col(f"first.{name}").alias(f"first_{name}") for name in ("file", "row", "start")]), "first")
+    later = "file <> first_file OR row <> first_row OR start <> first_start"
+    return found.drop("doc_id").join(first, "digest").where(later).select("file", "row", "start", "end")
 
 
 def drop_repeats(docs: DataFrame, stage: Stage, least_words: int = LEAST_WORDS) -> DataFrame:
-    """All columns of ``docs`` with what is left of the text, and removed_spans: structs of start and end in text order, or null.
+    """All columns of ``docs`` with what is left of the text, and removed_spans: structs of start and end in text order, or null. What is
+    left is the text without its spans. A column of ``docs`` that is called removed_spans is replaced.
 
-    Rows are told apart by their place in the input, which is stored with them."""
-    numbered = placed(docs, stage, "_lines_place")
-    spans = repeats(texts(numbered, F.col("_lines_place").alias("place")), stage, least_words).groupBy("place")
+    Rows are told apart by their file and place in it; only rows that do not come from files as they are are stored once more."""
+    named = identified(docs, stage, "_lines_file", "_lines_row")
+    rows = texts(named, F.col("_lines_file").alias("file"), F.col("_lines_row").alias("row"))
+    spans = repeats(rows, stage, least_words).groupBy(F.col("file").alias("_lines_file"), F.col("row").alias("_lines_row"))
     spans = spans.agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_lines_spans"))
-    joined = numbered.join(spans.withColumnRenamed("place", "_lines_place"), "_lines_place", "left").drop("_lines_place")
+    joined = named.join(spans, ["_lines_file", "_lines_row"], "left").drop("_lines_file", "_lines_row")
 
     @F.pandas_udf("string")
     def left(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
@@ -147,13 +151,11 @@ def drop_repeats(docs: DataFrame, stage: Stage, least_words: int = LEAST_WORDS)
 
 
 def _without(text: str, starts: list[int], ends: list[int]) -> str:
-    """The text between the spans. A line that is removed whole takes its line break with it."""
+    """The text between the spans."""
     parts, at = [], 0
     for start, end in zip(starts, ends):
         parts.append(text[at:start])
         at = end
-        if (start == 0 or text[start - 1] == "\n") and text[end : end + 1] == "\n":
-            at += 1
     return "".join(parts) + text[at:]
 
 

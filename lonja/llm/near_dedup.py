@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -44,29 +45,27 @@ MATCHES = 38
 SHORT = 16
 CHOSEN = 3
 ROUNDS = 1
+SLICE = 250  # rows a task works on at once
 
 _random = np.random.default_rng(20)
 _FACTORS = _random.integers(1, 2**63, COORDINATES, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
 _TERMS = _random.integers(0, 2**63, COORDINATES, dtype=np.uint64)[:, None]
 
 
-class _Words(dict):
-    """64-bit hash of a word, kept for the next time it is met."""
+class Hashes(dict):
+    """64-bit hash of a word, kept for the next time it is met, by one task and for a bounded number of words."""
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 500_000:
+        if len(self) < 1 << 16:
             self[word] = value
         return value
 
 
-_words = _Words()
-
-
-def shingles(text: str | None) -> np.ndarray:
+def shingles(text: str | None, hashes: Hashes | None = None) -> np.ndarray:
     """Sorted hashes of the distinct pairs of neighbouring words; of a single word, its own."""
     words = (text or "").encode().lower().split()  # bytes: ASCII letters and ASCII white space alone
-    values = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    values = np.fromiter(map((Hashes() if hashes is None else hashes).__getitem__, words), np.uint64, len(words))
     if len(words) > 1:
         second = values[1:]
         values = values[:-1] * np.uint64(0x9E3779B97F4A7C15) + (second ^ (second >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -83,20 +82,22 @@ def signature(values: np.ndarray) -> np.ndarray:
     return least
 
 
-def _signed(batch: pa.RecordBatch) -> Iterator[dict]:
-    sizes, digests, values = [], [], []
-    for text in batch.column(2).to_pylist():
-        found = shingles(text)
-        sizes.append(len(found))
-        digests.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-        values.append(signature(found).view(np.int64) if len(found) else None)
-    yield {"place": batch.column(0), "doc_id": batch.column(1), "n_shingles": sizes, "digest": digests, "signature": values}
+def _signed(batch: pa.RecordBatch, hashes: Hashes) -> Iterator[dict]:
+    for start in range(0, batch.num_rows, SLICE):
+        part = batch.slice(start, SLICE)
+        sizes, digests, values = [], [], []
+        for text in part.column(2):
+            found = shingles(text.as_py(), hashes)
+            sizes.append(len(found))
+            digests.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
+            values.append(signature(found).view(np.int64) if len(found) else None)
+        yield {"place": part.column(0), "doc_id": part.column(1), "n_shingles": sizes, "digest": digests, "signature": values}
 
 
-def _sets(batch: pa.RecordBatch) -> Iterator[dict]:
-    for start in range(0, batch.num_rows, 500):
-        part = batch.slice(start, 500)
-        yield {"node": part.column(0), "hashes": [shingles(text).tobytes() for text in part.column(1).to_pylist()]}
+def _sets(batch: pa.RecordBatch, hashes: Hashes) -> Iterator[dict]:
+    for start in range(0, batch.num_rows, SLICE):
+        part = batch.slice(start, SLICE)
+        yield {"node": part.column(0), "hashes": [shingles(text.as_py(), hashes).tobytes() for text in part.column(1)]}
 
 
 def _elements(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -148,7 +149,7 @@ class _Graph:
         rows = self.rows.withColumnRenamed("place", "node").repartition(number, "node")
         needed = rows.join(nodes.distinct().repartition(number, "node"), "node", "left_semi")
         name = self.name
-        made = batches(needed.select("node", "text"), _sets, "node long, hashes binary")
+        made = batches(needed.select("node", "text"), partial(_sets, hashes=Hashes()), "node long, hashes binary")
         made.write.bucketBy(number, "node").option("path", self.stage.at(name)).saveAsTable(name)
         return session.table(name)
 
@@ -237,7 +238,7 @@ def near_duplicates(docs: DataFrame, stage: Stage, place: str | None = None) ->
     if place is None:
         docs, place = placed(texts(docs), stage, "_near_place"), "_near_place"
     rows = texts(docs, F.col(place).alias("place")).select("place", "doc_id", "text")
-    signed = batches(rows, _signed, "place long, doc_id long, n_shingles long, digest binary, signature array<bigint>")
+    signed = batches(rows, partial(_signed, hashes=Hashes()), "place long, doc_id long, n_shingles long, digest binary, signature array<bigint>")
     signed = stage.keep(signed, "signed")
     nodes = signed.where(F.col("digest").isNotNull()).groupBy("digest").agg(
         F.min("place").alias("node"), F.min("doc_id").alias("least_id"), F.any_value("signature").alias("signature")

@@ -3,13 +3,16 @@
 import hashlib
 import zlib
 from collections import Counter, defaultdict
+from glob import glob
 
 import numpy as np
 import pytest
 
 from lonja.llm import decontaminate, hosts, lines, near_dedup, order_minhash, packing, sharding
+from lonja.llm.common import identified
 from lonja.llm.components import stars
 
+SF_DIR = "/root/testdata/sf0.001"
 random = np.random.default_rng(11)
 NAMES = [f"{a}{b}" for a in ("ba", "ce", "di", "fo", "gu", "ha", "je", "ki") for b in ("lon", "mur", "nas", "pet", "rin", "sot", "tul", "vex")]
 
@@ -362,10 +365,35 @@ def test_later_occurrences_go_and_the_first_stays(spark, written, stage):
         if i in (47, 48, 49, 50):
             removed = "".join(raw[i][s.start : s.end] for s in row.removed_spans)
             assert removed == passage
+        elif i == 43:  # a line is a unit however short it is
+            assert row.text == "short line\n" and [tuple(s) for s in row.removed_spans] == [(11, 21)]
         else:
             assert row.text == raw[i] and row.removed_spans is None
 
 
+def test_what_is_left_is_the_text_without_its_spans(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    raw = {r.doc_id: r.text or "" for r in docs.collect()}
+    changed = 0
+    for r in lines.op10_line_hashing(spark, SF_DIR).collect():
+        left, at = "", 0
+        for start, end in zip(r.removed_start, r.removed_end):
+            assert at <= start < end
+            left, at = left + raw[r.doc_id][at:start], end
+        assert (r.text or "") == left + raw[r.doc_id][at:]
+        changed += r.n_removed > 0
+    assert changed
+
+
+def test_rows_of_files_are_not_written_again(spark, written, stage, odd):
+    plain = written(odd)
+    assert identified(plain.where("doc_id > 2"), stage, "f", "r").select("f", "r").distinct().count() == 9
+    assert not glob(f"{stage.path.removeprefix('file:')}/placed")
+    joined = plain.join(plain.select("doc_id"), "doc_id")
+    assert identified(joined, stage, "f", "r").select("f", "r").distinct().count() == joined.count()
+    assert glob(f"{stage.path.removeprefix('file:')}/placed")
+
+
 def test_repeats_against_a_plain_pass(odd, written, stage):
     docs = written(odd, parts=1)
     seen, expected = set(), Counter()
