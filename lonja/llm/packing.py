@@ -34,7 +34,7 @@ CAPACITY = 1024
 CLASSES = (*range(1, 17), 18, 20, 24, 28, 32, 40, 48, 64, 96, 128, 192, 256, 512, 1024)
 END_ID = 0
 SPECIAL = "<|endoftext|>"
-MOST_CACHED = 700_000
+MOST_CACHED = 1 << 16
 
 PIECES = (
     "doc_id long, start long, length long, doc_tokens long, ids binary, kind int, worker long, sequence_id long, offset long"
