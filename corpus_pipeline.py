@@ -2,6 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read again as the next stage's documents.
 All stages but the last return the columns of documents; the last returns the pieces of the packed sequences with their ids.
+
+What a stage stores in the shared folder serves until its result is written. The next stage begins with that result, so it removes what
+the one before has stored for the same tables; the rest goes at the end of the session.
+
+Defined cases: a null text has no language and goes in the first stage, as do texts without a letter; of repeated rows one stays; rows
+with a null id are documents like others; very long texts are worked on whole; further columns are handed on up to the last stage; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -14,6 +21,17 @@ from lonja.llm.common import remainder, table
 from lonja.operators.staging import Stage
 
 
+_stored: dict[str, Stage] = {}
+
+
+def _fresh(spark: SparkSession, sf_dir: str, purpose: str) -> Stage:
+    """A place for what a stage stores; that of the stage before it is given up."""
+    if sf_dir in _stored:
+        _stored.pop(sf_dir).remove()
+    _stored[sf_dir] = Stage(spark, purpose)
+    return _stored[sf_dir]
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, and those whose language is in doubt, go."""
     codes = language.learn(docs.select("doc_id", "text", "lang"), remainder(F.col("doc_id"), 4) != 2)
@@ -22,24 +40,24 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, that with the smallest id."""
-    return near_dedup.one_of_each(docs, Stage(spark, "near"))
+    return near_dedup.one_of_each(docs, _fresh(spark, sf_dir, "near"))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines and sentences are cut out; a document that has nothing left goes. n_chars follows the text."""
-    left = lines.drop_repeats(docs, Stage(spark, "lines"))
+    left = lines.drop_repeats(docs, _fresh(spark, sf_dir, "lines"))
     lost_all = F.col("removed_spans").isNotNull() & (F.trim(F.regexp_replace("text", r"\s", " ")) == "")
     return left.where(~F.coalesce(lost_all, F.lit(False))).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold an item of the benchmark go."""
-    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"), Stage(spark, "templates"))
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"), _fresh(spark, sf_dir, "templates"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 1024 tokens."""
-    return packing.pack(docs, Stage(spark, "packing")).drop("kind", "worker")
+    return packing.pack(docs, _fresh(spark, sf_dir, "packing")).drop("kind", "worker")
 
 
 STAGES = [
