@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -44,6 +45,18 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
+@contextmanager
+def smaller_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Jobs inside hand ``rows`` rows at once to Python workers instead of 10,000: for rows that may be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def batches(rows: DataFrame, work: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:
     """``work`` turns each Arrow batch into dicts of columns, in Python workers."""
     arrow = pa.schema([(f.name, _KINDS[f.dataType.simpleString()]) for f in _schema(schema)])

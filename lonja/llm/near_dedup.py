@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lonja.llm.common import batches, placed, table, texts
+from lonja.llm.common import batches, placed, smaller_batches, table, texts
 from lonja.llm.components import stars
 from lonja.operators.staging import Stage
 
@@ -239,12 +239,14 @@ def near_duplicates(docs: DataFrame, stage: Stage, place: str | None = None) ->
         docs, place = placed(texts(docs), stage, "_near_place"), "_near_place"
     rows = texts(docs, F.col(place).alias("place")).select("place", "doc_id", "text")
     signed = batches(rows, partial(_signed, hashes=Hashes()), "place long, doc_id long, n_shingles long, digest binary, signature array<bigint>")
-    signed = stage.keep(signed, "signed")
+    with smaller_batches(docs.sparkSession):
+        signed = stage.keep(signed, "signed")
     nodes = signed.where(F.col("digest").isNotNull()).groupBy("digest").agg(
         F.min("place").alias("node"), F.min("doc_id").alias("least_id"), F.any_value("signature").alias("signature")
     )
     nodes = stage.keep(nodes, "nodes")
-    found = components(nodes.select("node", "signature"), rows.select("place", "text"), stage)
+    with smaller_batches(docs.sparkSession):
+        found = components(nodes.select("node", "signature"), rows.select("place", "text"), stage)
     named = nodes.select("digest", "node", "least_id").join(found.select(F.col("a").alias("node"), F.col("b").alias("star")), "node", "left")
     named = stage.keep(named.select("digest", "least_id", F.coalesce("star", "node").alias("component")), "named")
     ids = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
