@@ -27,6 +27,7 @@ and has probability 1; an empty table gives an empty result; other columns are n
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from math import log10
 
@@ -351,8 +352,13 @@ def score(docs: DataFrame, learned: Column, stage: Stage) -> DataFrame:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = 1 + size // (6 * PARTITION_TOKENS)
     hot = PARTITION_TOKENS // 3
-    # Stored, since both steps must see the same chunks: another scan of the input can be split differently.
-    chunks = stage.keep(rows.mapInArrow(_chunk_packets, PACKET), "chunks")
+    # Stored, since both steps must see the same chunks: another scan of the input can be split differently. In buckets, so that they
+    # do not move again to meet their totals.
+    session, name = rows.sparkSession, "katz_chunks_" + uuid.uuid4().hex
+    buckets = int(session.conf.get("spark.sql.shuffle.partitions"))
+    made = rows.mapInArrow(_chunk_packets, PACKET)
+    made.write.bucketBy(buckets, "chunk").option("path", stage.at(name)).saveAsTable(name)
+    chunks = session.table(name)
     sent = chunks.select("chunk", "payload").mapInArrow(_word_packets(parts), PACKET)
     totals = stage.keep(sent.groupBy("part").applyInArrow(_word_totals, TOTALS), "totals")
     names = ["tokens", "types", *[f"r{r}" for r in range(1, LARGEST + 2)]]
@@ -367,6 +373,7 @@ def score(docs: DataFrame, learned: Column, stage: Stage) -> DataFrame:
     )
     terms = pairs.groupBy("part").applyInArrow(_pair_terms(tokens_all, left_words, unknown, hot), TERMS)
     terms = stage.keep(terms, "terms")
+    session.sql(f"DROP TABLE IF EXISTS {name}")  # its files stay in the stage's folder and go with it
     numbers = [f"r{r}" for r in range(1, LARGEST + 2)]
     types = terms.where(F.col("kind") == TYPES).agg(*[F.coalesce(F.sum(r), F.lit(0)) for r in numbers]).first()
     left = discounts([0, *map(int, types)])
