@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
+import xxhash
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +46,16 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
+class Hashes(dict):
+    """64-bit hash of a word, kept for the next time it is met, by one task and for a bounded number of words."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(self) < 1 << 16:
+            self[word] = value
+        return value
+
+
 @contextmanager
 def smaller_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """Jobs inside hand ``rows`` rows at once to Python workers instead of 10,000: for rows that may be long."""

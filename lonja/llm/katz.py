@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import partial
 from math import log10
 
 import numpy as np
@@ -39,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lonja.llm.common import remainder, table, texts
+from lonja.llm.common import Hashes, remainder, smaller_batches, table, texts
 from lonja.operators.staging import Stage
 
 LARGEST = 5  # counts up to this have a Good-Turing discount
@@ -87,33 +88,22 @@ def _unpacked(value: bytes) -> list[np.ndarray]:
 # ---- texts to tokens
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 500_000:
-            self[word] = value
-        return value
-
-
-_words = _Words()
-
-
-def _tokens(text: str | None) -> np.ndarray:
+def _tokens(text: str | None, hashes: Hashes) -> np.ndarray:
     """Hashes of the words, then the end."""
     found = (text or "").encode().lower().split()  # bytes: ASCII letters and ASCII white space alone
     values = np.empty(len(found) + 1, _W)
-    values[:-1] = np.fromiter(map(_words.__getitem__, found), _W, len(found))
+    values[:-1] = np.fromiter(map(hashes.__getitem__, found), _W, len(found))
     values[-1] = END
     return values
 
 
-def _chunks(incoming: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray]]]:
+def _chunks(incoming: Iterator[pa.RecordBatch], hashes: Hashes) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Chunk number and [doc_id, has_id, learned, lengths, words, ids], for columns doc_id, learned, text. ``ids`` are the tokens as
     places in ``words``, the most frequent first."""
     chunk, held, size = TaskContext.get().partitionId() << 12, [], 0
     for batch in incoming:
-        for doc_id, learned, text in zip(*[column.to_pylist() for column in batch.columns]):
-            tokens = _tokens(text)
+        for doc_id, learned, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            tokens = _tokens(text.as_py(), hashes)
             held.append((doc_id, learned, tokens))
             size += len(tokens)
             if size >= CHUNK_TOKENS:
@@ -180,9 +170,9 @@ def _word_packets(parts: int):
     return work
 
 
-def _chunk_packets(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chunk_packets(incoming: Iterator[pa.RecordBatch], hashes: Hashes) -> Iterator[pa.RecordBatch]:
     schema = _arrow(PACKET)
-    for chunk, columns in _chunks(incoming):
+    for chunk, columns in _chunks(incoming, hashes):
         yield _batch(schema, {"part": [0], "chunk": [chunk], "payload": [_packed(*columns)]})
 
 
@@ -356,8 +346,9 @@ def score(docs: DataFrame, learned: Column, stage: Stage) -> DataFrame:
     # do not move again to meet their totals.
     session, name = rows.sparkSession, "katz_chunks_" + uuid.uuid4().hex
     buckets = int(session.conf.get("spark.sql.shuffle.partitions"))
-    made = rows.mapInArrow(_chunk_packets, PACKET)
-    made.write.bucketBy(buckets, "chunk").option("path", stage.at(name)).saveAsTable(name)
+    made = rows.mapInArrow(partial(_chunk_packets, hashes=Hashes()), PACKET)
+    with smaller_batches(session):
+        made.write.bucketBy(buckets, "chunk").option("path", stage.at(name)).saveAsTable(name)
     chunks = session.table(name)
     sent = chunks.select("chunk", "payload").mapInArrow(_word_packets(parts), PACKET)
     totals = stage.keep(sent.groupBy("part").applyInArrow(_word_totals, TOTALS), "totals")

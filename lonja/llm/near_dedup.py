@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lonja.llm.common import batches, placed, smaller_batches, table, texts
+from lonja.llm.common import Hashes, batches, placed, smaller_batches, table, texts
 from lonja.llm.components import stars
 from lonja.operators.staging import Stage
 
@@ -52,16 +52,6 @@ _FACTORS = _random.integers(1, 2**63, COORDINATES, dtype=np.uint64)[:, None] * n
 _TERMS = _random.integers(0, 2**63, COORDINATES, dtype=np.uint64)[:, None]
 
 
-class Hashes(dict):
-    """64-bit hash of a word, kept for the next time it is met, by one task and for a bounded number of words."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 1 << 16:
-            self[word] = value
-        return value
-
-
 def shingles(text: str | None, hashes: Hashes | None = None) -> np.ndarray:
     """Sorted hashes of the distinct pairs of neighbouring words; of a single word, its own."""
     words = (text or "").encode().lower().split()  # bytes: ASCII letters and ASCII white space alone
