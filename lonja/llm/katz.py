@@ -46,8 +46,8 @@ from lonja.operators.staging import Stage
 LARGEST = 5  # counts up to this have a Good-Turing discount
 TENTH = 0.1  # taken off larger counts
 END, START = np.uint64(1), np.uint64(2)  # in place of word hashes
-CHUNK_TOKENS = 2_000_000
-PARTITION_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_200_000
+PARTITION_TOKENS = 1_200_000
 _W = np.uint64
 
 PACKET = "part long, chunk long, payload binary"
