@@ -40,6 +40,8 @@ def main(arguments: list[str] | None = None) -> int:
         parser.add_argument(f"--{option}", action="append", help="may be given several times")
     parser.add_argument("--kind", choices=["talla", "color"], help="demand by size or by colour")
     parser.add_argument("--k", type=int, help="number of rows of a top-k report")
+    parser.add_argument("--incremental", action="store_true", help="Silver reads only the ingest days that are new to it")
+    parser.add_argument("--latest-only", action="store_true", help="each ingest day is a complete copy: what the last one lacks was deleted")
     chosen = parser.parse_args(arguments)
     if chosen.step == "report" and not chosen.name:
         parser.error("name a report")
@@ -60,11 +62,11 @@ def main(arguments: list[str] | None = None) -> int:
     if chosen.step == "bronze":
         print(ingest())
     elif chosen.step == "silver":
-        print(runner.run_silver(spark, lake, rules))
+        print(runner.run_silver(spark, lake, rules, chosen.incremental, chosen.latest_only))
     elif chosen.step == "gold":
         print(runner.run_gold(spark, lake, rules))
     elif chosen.step == "batch":
-        print(runner.run_batch(spark, lake, ingest, rules))
+        print(runner.run_batch(spark, lake, ingest, rules, chosen.incremental, chosen.latest_only))
     elif chosen.step == "stream":
         records = kafka_events(spark, settings["KAFKA_BOOTSTRAP_SERVERS"], settings.topic)
         start(records, LiveSinks(lake, rules=rules), settings["STREAM_TRIGGER"]).awaitTermination()

@@ -23,7 +23,21 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_lonja_stages"
+    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_lonja_stages"
+    if folder.startswith(("file:", "/")) and not context.master.startswith("local"):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir: the warehouse is a local folder")
+    return folder
+
+
+def _located(spark: SparkSession, path: str):
+    located = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return located, located.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder on any file system; nothing happens where there is none."""
+    located, files = _located(spark, path)
+    files.delete(located, True)
 
 
 class Stage:
@@ -32,7 +46,7 @@ class Stage:
     def __init__(self, spark: SparkSession, purpose: str):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
-        path, files = self._files()
+        path, files = _located(spark, self.path)
         files.deleteOnExit(path)
 
     def at(self, name: str) -> str:
@@ -43,13 +57,8 @@ class Stage:
         rows.write.mode("overwrite").parquet(self.at(name))
         return self.spark.read.schema(rows.schema).parquet(self.at(name))
 
-    def _files(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
     def remove(self) -> None:
-        path, files = self._files()
-        files.delete(path, True)
+        delete(self.spark, self.path)
 
     def __enter__(self) -> Stage:
         return self

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import Checked, Stage
+from ..operators import Checked, KeyedState, Stage
 from ..rules import DEFAULT_RULES, ShopRules
 from ..sources import Database, MissingTable, Split, stamped, write_snapshot
 from ..sources.feeds import (
@@ -42,6 +42,19 @@ DATABASE_TABLES: Mapping[str, Split] = {
 }
 
 
+# What Silver needs of them: keys and other columns.
+TABLE_STATES: Mapping[str, tuple[list[str], list[str]]] = {
+    "clientes": (["id"], ["nombre", "correo", "ciudad", "fecha_registro"]),
+    "productos": (["id"], ["nombre", "marca", "categoria", "precio"]),
+    "variantes": (["id"], ["producto_id", "talla", "color", "sku"]),
+    "inventario": (["variante_id"], ["stock_disponible", "bodega"]),
+    "pedidos": (["id"], ["cliente_id", "fecha", "estado", "total"]),
+    "detalle_pedido": (["pedido_id", "variante_id"], ["cantidad", "precio"]),
+    "pagos": (["pedido_id"], ["metodo", "estado", "monto"]),
+    "devoluciones": (["pedido_id"], ["motivo", "fecha"]),
+}
+
+
 def _counted_write(rows: DataFrame, path: str) -> int:
     """Writes a table and tells its number of rows, counted while writing."""
     seen = Observation()
@@ -107,12 +120,28 @@ def _event_folders(spark: SparkSession, lake: Lake) -> DataFrame:
     return read_event_files(spark, present)
 
 
-def run_silver(spark: SparkSession, lake: Lake, rules: ShopRules = DEFAULT_RULES) -> dict[str, int]:
-    """Builds and writes all Silver tables and their rejects; returns the rows per table."""
+def _last_versions(spark: SparkSession, lake: Lake, table: str, deletes: bool) -> DataFrame:
+    """The state of a database table after the days that are new to it."""
+    keys, columns = TABLE_STATES[table]
+    state = KeyedState(spark, lake.state(table), keys, deletes=deletes)
+    return state.update(read_snapshots(spark, lake, table), columns).drop("_ingested_at", "_ingest_date")
+
+
+def run_silver(
+    spark: SparkSession, lake: Lake, rules: ShopRules = DEFAULT_RULES, incremental: bool = False, latest_only: bool = False
+) -> dict[str, int]:
+    """Builds and writes all Silver tables and their rejects; returns the rows per table.
+
+    By default every run reads every ingest day of the database tables. ``incremental`` runs keep the last version of each row and read
+    the days since the last run (the last day again where there is no new one). ``latest_only`` takes each day for a complete copy of
+    its table: what the last day lacks was deleted.
+    """
     counts: dict[str, int] = {}
 
     def bronze(table: str) -> DataFrame:
-        return read_snapshots(spark, lake, table)
+        if incremental:
+            return _last_versions(spark, lake, table, latest_only)
+        return read_snapshots(spark, lake, table, latest_only)
 
     def write(table: str, rows: DataFrame) -> DataFrame:
         counts[table] = _counted_write(rows, lake.silver(table))
@@ -257,13 +286,15 @@ def run_batch(
     lake: Lake,
     ingest: Callable[[], Mapping[str, int]] | None = None,
     rules: ShopRules = DEFAULT_RULES,
+    incremental: bool = False,
+    latest_only: bool = False,
 ) -> dict[str, Mapping[str, int]]:
-    """Ingest (if given), Silver and Gold. The run is recorded in the lake, also when it fails."""
+    """Ingest (if given), Silver (see ``run_silver`` for its options) and Gold. The run is recorded in the lake, also when it fails."""
     began, clock = datetime.now(), time.monotonic()
     record: dict = {"inicio": began, "estado": "error"}
     try:
         record["bronze"] = dict(ingest()) if ingest else {}
-        record["silver"] = run_silver(spark, lake, rules)
+        record["silver"] = run_silver(spark, lake, rules, incremental, latest_only)
         record["gold"] = run_gold(spark, lake, rules)
         record["estado"] = "ok"
     except Exception as problem:

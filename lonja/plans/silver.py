@@ -23,12 +23,14 @@ from ..functions import (
     upper_trim,
     whole_number,
 )
-from ..operators import Check, Checked, Keep, evaluated_once, keep_earliest, keep_latest, not_kept
+from ..operators import Check, Checked, First, Keep, Known, evaluated_once, keep_latest, not_kept
 from ..rules import DEFAULT_RULES, MONEY, ShopRules
 
 
 def _snapshot(bronze: DataFrame, keys: list[str], *columns: str) -> DataFrame:
-    """The last ingested version of every key, with the columns the table needs."""
+    """The last ingested version of every key, with the columns the table needs. Rows without the stamp are such versions already."""
+    if "_ingested_at" not in bronze.columns:
+        return bronze.select(*keys, *columns)
     return keep_latest(bronze.select(*keys, *columns, "_ingested_at"), keys).drop("_ingested_at")
 
 
@@ -72,7 +74,7 @@ def customers(bronze: DataFrame, rules: ShopRules = DEFAULT_RULES) -> Checked:
         accepted=clean.columns,
         rejected=clean.columns,
         # one person registered twice under one address: the first registration stays
-        after=lambda valid: keep_earliest(valid, ["correo"], ["fecha_registro", "id"]),
+        further=[First(["correo"], ["fecha_registro", "id"], "correo_repetido")],
     )
 
 
@@ -113,7 +115,7 @@ def variants(bronze: DataFrame) -> Checked:
 
 
 def inventory(bronze: DataFrame, valid_variants: DataFrame) -> Checked:
-    """Stock of known variants. Rows of unknown variants are left out of both results."""
+    """Stock of known variants."""
     clean = _snapshot(bronze, ["variante_id"], "stock_disponible", "bodega").select(
         "variante_id", _integer("stock_disponible"), upper_trim("bodega").alias("bodega")
     )
@@ -122,7 +124,7 @@ def inventory(bronze: DataFrame, valid_variants: DataFrame) -> Checked:
         [Check("stock_invalido", F.col("stock_disponible") >= 0)],
         clean.columns,
         clean.columns,
-        after=lambda valid: valid.join(valid_variants.select("variante_id"), "variante_id", "left_semi"),
+        further=[Known(valid_variants, "variante_id", "variante_desconocida")],
     )
 
 
@@ -211,7 +213,7 @@ def returns(bronze: DataFrame, valid_orders: DataFrame) -> Checked:
         [Check("motivo_o_fecha_invalido", F.col("fecha").isNotNull() & F.col("motivo").isNotNull())],
         clean.columns,
         clean.columns,
-        after=lambda valid: valid.join(valid_orders.select("pedido_id"), "pedido_id", "left_semi"),
+        further=[Known(valid_orders, "pedido_id", "pedido_desconocido")],
     )
 
 
@@ -288,7 +290,7 @@ def events(raw: DataFrame, rules: ShopRules = DEFAULT_RULES) -> Checked:
         [Check("evento_invalido", sound)],
         accepted=names,
         rejected=["event_id", "event_type", "ts", "session_id"],
-        after=lambda valid: keep_earliest(valid, ["event_id"], ["ts"]),
+        further=[First(["event_id"], ["ts"], "evento_repetido")],
     )
 
 

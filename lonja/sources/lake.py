@@ -35,6 +35,9 @@ class Lake:
     def checkpoint(self, *parts: str) -> str:
         return self._under("_checkpoints", *parts)
 
+    def state(self, *parts: str) -> str:
+        return self._under("_state", *parts)
+
     def metadata(self, *parts: str) -> str:
         return self._under("_metadata", *parts)
 

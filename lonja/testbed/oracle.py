@@ -153,6 +153,14 @@ PARTS = {
             CAST(NULL AS VARCHAR) AS motivo,
             CASE WHEN event_id % 2 = 0 THEN 'web' ELSE 'app' END AS canal
         FROM enviados""",
+    # rejected for what other rows hold
+    "clientes_repetidos": "SELECT * FROM clientes WHERE bueno AND id NOT IN (SELECT id FROM clientes_ok)",
+    "inventario_sin_variante": """
+        SELECT * FROM inventario
+        WHERE stock_disponible >= 0 AND variante_id NOT IN (SELECT variante_id FROM variantes_ok)""",
+    "devoluciones_sin_pedido": """
+        SELECT * FROM devoluciones
+        WHERE pedido_id % 97 <> 0 AND pedido_id % 89 <> 0 AND pedido_id NOT IN (SELECT pedido_id FROM pedidos_ok)""",
     # of two copies the earlier one stays
     "eventos_ok": "SELECT * FROM eventos WHERE bueno AND late = 0",
     # as a stream sees them: every readable line with an id, as it was written
@@ -357,6 +365,10 @@ _STATEMENTS = {
             UNION ALL SELECT 'historico_ventas', 'fecha_cantidad_precio_invalido' FROM historico WHERE NOT bueno
             UNION ALL SELECT 'historico_devoluciones', 'fecha_o_referencia_invalida' FROM devueltas_antes WHERE NOT bueno
             UNION ALL SELECT 'eventos', 'evento_invalido' FROM eventos WHERE NOT bueno
+            UNION ALL SELECT 'clientes', 'correo_repetido' FROM clientes_repetidos
+            UNION ALL SELECT 'inventario', 'variante_desconocida' FROM inventario_sin_variante
+            UNION ALL SELECT 'devoluciones', 'pedido_desconocido' FROM devoluciones_sin_pedido
+            UNION ALL SELECT 'eventos', 'evento_repetido' FROM eventos WHERE bueno AND late <> 0
             UNION ALL SELECT 'catalogo_externo', 'catalogo_api_invalido' FROM catalogo WHERE NOT bueno) r
         GROUP BY tabla, motivo_rechazo""",
     # Bronze
@@ -386,7 +398,8 @@ _STATEMENTS = {
     # rejects
     "rejects_customers": """
         SELECT id, nombre, correo, ciudad, fecha_registro, 'correo_inválido' AS motivo_rechazo
-        FROM clientes WHERE NOT bueno""",
+        FROM clientes WHERE NOT bueno
+        UNION ALL SELECT id, nombre, correo, ciudad, fecha_registro, 'correo_repetido' FROM clientes_repetidos""",
     "rejects_products": """
         SELECT id, nombre, marca, categoria, CAST(precio AS DOUBLE) AS precio,
             'precio_o_categoria_invalido' AS motivo_rechazo
@@ -400,7 +413,8 @@ _STATEMENTS = {
             color, sku, 'talla_invalida' AS motivo_rechazo
         FROM variantes WHERE NOT bueno""",
     "rejects_inventory": """
-        SELECT *, 'stock_invalido' AS motivo_rechazo FROM inventario WHERE coalesce(stock_disponible, -1) < 0""",
+        SELECT *, 'stock_invalido' AS motivo_rechazo FROM inventario WHERE coalesce(stock_disponible, -1) < 0
+        UNION ALL SELECT *, 'variante_desconocida' FROM inventario_sin_variante""",
     "rejects_orders": """
         SELECT id, cliente_id, fecha, estado, CAST(total AS DOUBLE) AS total,
             'estado_fecha_total_invalido' AS motivo_rechazo
@@ -411,7 +425,8 @@ _STATEMENTS = {
         FROM lineas WHERE cantidad <= 0 OR precio <= 0""",
     "rejects_returns": """
         SELECT pedido_id, motivo, fecha, 'motivo_o_fecha_invalido' AS motivo_rechazo
-        FROM devoluciones WHERE pedido_id % 97 = 0 OR pedido_id % 89 = 0""",
+        FROM devoluciones WHERE pedido_id % 97 = 0 OR pedido_id % 89 = 0
+        UNION ALL SELECT pedido_id, motivo, fecha, 'pedido_desconocido' FROM devoluciones_sin_pedido""",
     "rejects_sales_history": """
         SELECT fecha, orden_ref, sku, cantidad, CAST(precio_unitario AS DOUBLE) AS precio_unitario,
             'fecha_cantidad_precio_invalido' AS motivo_rechazo
@@ -420,7 +435,8 @@ _STATEMENTS = {
         SELECT fecha, orden_ref, motivo, 'fecha_o_referencia_invalida' AS motivo_rechazo
         FROM devueltas_antes WHERE NOT bueno""",
     "rejects_events": """
-        SELECT event_id, event_type, ts, session_id, 'evento_invalido' AS motivo_rechazo FROM eventos WHERE NOT bueno""",
+        SELECT event_id, event_type, ts, session_id, 'evento_invalido' AS motivo_rechazo FROM eventos WHERE NOT bueno
+        UNION ALL SELECT event_id, event_type, ts, session_id, 'evento_repetido' FROM eventos WHERE bueno AND late <> 0""",
     "rejects_external_catalog": """
         SELECT api_id, titulo, marca, CAST(precio AS DOUBLE) AS precio, sku, 'catalogo_api_invalido' AS motivo_rechazo
         FROM catalogo WHERE NOT bueno""",
@@ -430,6 +446,10 @@ _STATEMENTS = {
     "silver_variants": "SELECT * FROM variantes_ok",
     "silver_inventory": "SELECT * FROM inventario_ok",
     "silver_orders": f"SELECT pedido_id, cliente_id, fecha, estado, {_doubles('total')} FROM pedidos_ok",
+    "silver_orders_by_day": f"SELECT pedido_id, cliente_id, fecha, estado, {_doubles('total')} FROM pedidos_ok",
+    # the second day is complete: what it lacks was deleted
+    "silver_orders_deleted": f"""
+        SELECT pedido_id, cliente_id, fecha, estado, {_doubles('total')} FROM pedidos_ok WHERE pedido_id % 11 <> 0""",
     "silver_order_lines": f"SELECT pedido_id, variante_id, cantidad, {_doubles('precio', 'subtotal')} FROM lineas_ok",
     "silver_order_view": f"""
         SELECT variante_id, pedido_id, cliente_id, fecha, estado, cantidad, metodo_pago, estado_pago, producto_id, talla,

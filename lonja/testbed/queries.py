@@ -21,7 +21,7 @@ from ..functions import (
     title_trim,
     wall_clock,
 )
-from ..operators import Checked, Stage, keep_earliest, keep_latest, reject_summary
+from ..operators import Checked, KeyedState, Stage, keep_earliest, keep_latest, reject_summary
 from ..plans import gold, reports, silver
 from ..sources import Lake, file_manifest, land_csv, read_sales_history, text_events, write_snapshot
 from . import shop
@@ -281,6 +281,16 @@ def src_csv_history(s: Shop) -> DataFrame:
     return read_sales_history(s.spark, landed, landed=True).drop("_archivo").withColumn("precio_unitario", price_value("precio_unitario"))
 
 
+def silver_orders_by_day(s: Shop, deletes: bool = False) -> DataFrame:
+    """Orders that come in day by day: each day is written to Bronze and merged into the state. The last day is ingested twice."""
+    path, snapshots = s.stage.at("bronze"), s.raw("pedidos")
+    state = KeyedState(s.spark, s.stage.at("state"), ["id"], deletes=deletes)
+    for day in ("2024-01-01", "2024-01-02", "2024-01-02"):
+        write_snapshot(snapshots.where(F.col("_ingest_date") == F.lit(day).cast("date")), path)
+        state.update(s.spark.read.parquet(path), ["cliente_id", "fecha", "estado", "total"])
+    return silver.orders(state.rows().drop("_ingested_at", "_ingest_date"), RULES).accepted
+
+
 # --- streaming ----------------------------------------------------------------------------------------------------
 
 
@@ -359,6 +369,8 @@ _QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "silver_variants": lambda s: s.variants.accepted,
     "silver_inventory": lambda s: s.inventory.accepted,
     "silver_orders": lambda s: s.orders.accepted,
+    "silver_orders_by_day": silver_orders_by_day,
+    "silver_orders_deleted": lambda s: silver_orders_by_day(s, deletes=True),
     "silver_order_lines": lambda s: s.order_lines.accepted,
     "silver_order_view": lambda s: s.order_view,
     "silver_returns": lambda s: s.returns.accepted,
