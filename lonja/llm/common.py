@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -68,14 +70,26 @@ def smaller_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def give_back_memory() -> None:
+    """Python workers live on from task to task; what a task has freed goes back to the machine at its end."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def batches(rows: DataFrame, work: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:
     """``work`` turns each Arrow batch into dicts of columns, in Python workers."""
     arrow = pa.schema([(f.name, _KINDS[f.dataType.simpleString()]) for f in _schema(schema)])
 
     def over(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in incoming:
-            for columns in work(batch):
-                yield pa.RecordBatch.from_arrays([_column(columns[f.name], f.type) for f in arrow], schema=arrow)
+        try:
+            for batch in incoming:
+                for columns in work(batch):
+                    yield pa.RecordBatch.from_arrays([_column(columns[f.name], f.type) for f in arrow], schema=arrow)
+        finally:
+            give_back_memory()
 
     return rows.mapInArrow(over, schema)
 

@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lonja.llm.common import Hashes, remainder, smaller_batches, table, texts
+from lonja.llm.common import Hashes, give_back_memory, remainder, smaller_batches, table, texts
 from lonja.operators.staging import Stage
 
 LARGEST = 5  # counts up to this have a Good-Turing discount
@@ -174,6 +174,7 @@ def _chunk_packets(incoming: Iterator[pa.RecordBatch], hashes: Hashes) -> Iterat
     schema = _arrow(PACKET)
     for chunk, columns in _chunks(incoming, hashes):
         yield _batch(schema, {"part": [0], "chunk": [chunk], "payload": [_packed(*columns)]})
+    give_back_memory()
 
 
 def _word_totals(packets: pa.Table) -> pa.Table:
@@ -261,7 +262,9 @@ def _pair_packets(word_parts: int, parts: int, tokens_all: int, types_all: int,
                     np.add.reduceat(learned_at[mine].astype(np.uint32), at),
                     np.diff(np.append(at, len(mine))).astype(np.uint32), text[mine],
                 )
-        return pa.Table.from_batches([_batch(_arrow(PACKET), out)])
+        packets = pa.Table.from_batches([_batch(_arrow(PACKET), out)])
+        give_back_memory()
+        return packets
 
     return work
 
