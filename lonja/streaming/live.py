@@ -24,6 +24,10 @@ from ..sources import Lake
 FULL_INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
+# Of the sketches of sessions: 2 ** 14 registers, a standard error below one percent.
+SKETCH_BITS = 14
+
+
 def parse_events(records: DataFrame, rules: ShopRules = DEFAULT_RULES) -> DataFrame:
     """Topic records (``value`` and, from Kafka, ``topic``, ``partition``, ``offset``) to typed events.
 
@@ -36,8 +40,10 @@ def parse_events(records: DataFrame, rules: ShopRules = DEFAULT_RULES) -> DataFr
     return records.select(F.inline(with_id), *origin).withColumn("ts", event_instant("ts", rules.naive_zone))
 
 
-def activity(events: DataFrame) -> DataFrame:
-    """Events, sessions and time span per event type. Sessions of different micro-batches must not be added up."""
+def activity(events: DataFrame, sketches: bool = False) -> DataFrame:
+    """Events, sessions and time span per event type. Sessions of different micro-batches must not be added up; ``sketches`` adds a
+    column whose values can be united (see ``windowed.sessions``)."""
+    more = [F.hll_sketch_agg("session_id", SKETCH_BITS).alias("sesiones_boceto")] if sketches else []
     return (
         events.groupBy("event_type")
         .agg(
@@ -45,6 +51,7 @@ def activity(events: DataFrame) -> DataFrame:
             F.count_distinct("session_id").alias("sesiones"),
             F.min("ts").alias("primero_ts"),
             F.max("ts").alias("ultimo_ts"),
+            *more,
         )
         .withColumn("procesado_en", F.current_timestamp())
     )
@@ -66,6 +73,20 @@ def stock_alerts(events: DataFrame, rules: ShopRules = DEFAULT_RULES) -> DataFra
     )
 
 
+def replace_batch(rows: DataFrame, path: str, stream: str, batch_id: int, file_format: str, **options: str) -> None:
+    """One micro-batch of a stream, in a folder of its own that a replay replaces."""
+    (
+        rows.withColumn("corrida", F.lit(stream))
+        .withColumn("lote", F.lit(batch_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("corrida", "lote")
+        .format(file_format)
+        .options(**options)
+        .save(path)
+    )
+
+
 @dataclass(frozen=True)
 class LiveSinks:
     """Where a stream writes. ``stream`` names the stream: give it a new name together with a new checkpoint."""
@@ -75,16 +96,7 @@ class LiveSinks:
     rules: ShopRules = DEFAULT_RULES
 
     def _replace(self, rows: DataFrame, path: str, batch_id: int, file_format: str, **options: str) -> None:
-        (
-            rows.withColumn("corrida", F.lit(self.stream))
-            .withColumn("lote", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("corrida", "lote")
-            .format(file_format)
-            .options(**options)
-            .save(path)
-        )
+        replace_batch(rows, path, self.stream, batch_id, file_format, **options)
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch to all sinks: the raw copy in Bronze, activity and alerts in Gold."""
@@ -96,7 +108,7 @@ class LiveSinks:
             self._replace(
                 copy, self.lake.bronze("eventos_web", "stream"), batch_id, "json", timestampFormat=FULL_INSTANT
             )
-            self._replace(activity(batch), self.lake.gold("gold_actividad_stream"), batch_id, "parquet")
+            self._replace(activity(batch, sketches=True), self.lake.gold("gold_actividad_stream"), batch_id, "parquet")
             self._replace(stock_alerts(batch, self.rules), self.lake.gold("gold_alertas"), batch_id, "parquet")
         finally:
             batch.unpersist()

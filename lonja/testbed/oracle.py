@@ -487,6 +487,12 @@ _STATEMENTS = {
     "stream_parse_events": f"SELECT {_EVENT_COLUMNS} FROM vivos",
     "stream_bronze_copy": f"SELECT {_EVENT_COLUMNS} FROM vivos",
     "stream_activity": "SELECT * FROM actividad",
+    "stream_sessions_sketch": "SELECT DISTINCT event_type, true AS cerca FROM vivos",
+    "stream_activity_windowed": """
+        SELECT date_trunc('hour', ts) AS desde, event_type, count(*) AS eventos, CAST(sum(cantidad) AS BIGINT) AS unidades,
+            min(ts) AS primero_ts, max(ts) AS ultimo_ts
+        FROM eventos WHERE legible AND num % 211 <> 0 AND ts IS NOT NULL AND late = 0
+        GROUP BY 1, 2""",
     "stream_stock_alerts": "SELECT * FROM alertas",
     # reports
     "report_kpis": """

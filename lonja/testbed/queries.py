@@ -296,33 +296,58 @@ def silver_orders_by_day(s: Shop, deletes: bool = False) -> DataFrame:
 
 def _replayed(s: Shop) -> Lake:
     """Runs the streaming job over the event lines in several micro-batches until all are worked off; the lake holds what it
-    wrote. The events of a session are in one file, so that the sessions of the micro-batches can be added up."""
+    wrote. The events of a session are spread over the micro-batches."""
     lines, lake = s.stage.at("lines"), Lake(s.stage.at("lake"))
     files = max(int(s.spark.conf.get("spark.sql.shuffle.partitions")), BATCHES)
-    s.raw("event_lines").repartition(files, F.get_json_object("value", "$.session_id")).write.text(lines)
+    s.raw("event_lines").repartition(files, "value").write.text(lines)
     records = text_events(s.spark, lines, files_per_trigger=-(-files // BATCHES))
     streaming.start(records, streaming.LiveSinks(lake, rules=RULES), every=None).awaitTermination()
     return lake
 
 
+def _stream_copy(s: Shop, lake: Lake) -> DataFrame:
+    copy = s.spark.read.schema(schemas.EVENT).json(lake.bronze("eventos_web", "stream")).select(*schemas.field_names(schemas.EVENT))
+    return copy.withColumn("ts", event_instant("ts"))
+
+
 def stream_parse_events(s: Shop) -> DataFrame:
     return s.live.select(*schemas.field_names(schemas.EVENT))
 
 
 def stream_bronze_copy(s: Shop) -> DataFrame:
-    path = _replayed(s).bronze("eventos_web", "stream")
-    copy = s.spark.read.schema(schemas.EVENT).json(path).select(*schemas.field_names(schemas.EVENT))
-    return copy.withColumn("ts", event_instant("ts"))
+    return _stream_copy(s, _replayed(s))
 
 
 def stream_activity(s: Shop) -> DataFrame:
-    """The activity of all micro-batches, added up."""
-    return s.spark.read.parquet(_replayed(s).gold("gold_actividad_stream")).groupBy("event_type").agg(
-        F.sum("eventos").alias("eventos"),
-        F.sum("sesiones").alias("sesiones"),
-        F.min("primero_ts").alias("primero_ts"),
-        F.max("ultimo_ts").alias("ultimo_ts"),
+    """The activity of all micro-batches: what can be added up is, the sessions are counted in the copy of the events."""
+    lake = _replayed(s)
+    totals = s.spark.read.parquet(lake.gold("gold_actividad_stream")).groupBy("event_type").agg(
+        F.sum("eventos").alias("eventos"), F.min("primero_ts").alias("primero_ts"), F.max("ultimo_ts").alias("ultimo_ts")
     )
+    counted = _stream_copy(s, lake).groupBy("event_type").agg(F.count_distinct("session_id").alias("sesiones"))
+    return totals.join(counted, "event_type")
+
+
+def stream_sessions_sketch(s: Shop) -> DataFrame:
+    """Sessions that span micro-batches, from united sketches: within three percent of the exact number?"""
+    lake = _replayed(s)
+    united = streaming.sessions(s.spark.read.parquet(lake.gold("gold_actividad_stream")), "event_type")
+    exact = _stream_copy(s, lake).groupBy("event_type").agg(F.count_distinct("session_id").alias("exacto"))
+    near = F.abs(F.col("sesiones") - F.col("exacto")) <= 0.03 * F.col("exacto")
+    return united.join(exact, "event_type").select("event_type", near.alias("cerca"))
+
+
+def stream_activity_windowed(s: Shop) -> DataFrame:
+    """Activity per hour. The second copies of purchases come in later micro-batches than the first and are not counted. The lines are in no
+    order of time, so no event may count as late here."""
+    lines = s.stage.at("lines")
+    jobs = streaming.WindowJobs(Lake(s.stage.at("lake")), window="1 hour", late="36500 days", rules=RULES)
+    for late, files in ((0, BATCHES), (2, 2)):
+        shop.event_lines(s.spark, s.sf_dir, copies=(late,)).repartition(files, "value").write.mode("append").text(lines)
+    jobs.start_once(text_events(s.spark, lines, files_per_trigger=2), every=None).awaitTermination()
+    jobs.start_windows(s.spark, every=None, files_per_trigger=4 * BATCHES).awaitTermination()
+    current = streaming.current_windows(s.spark.read.parquet(jobs.windows))
+    return current.select("desde", "event_type", "eventos", "unidades", "primero_ts", "ultimo_ts")
 
 
 def stream_stock_alerts(s: Shop) -> DataFrame:
@@ -392,6 +417,8 @@ _QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "stream_parse_events": stream_parse_events,
     "stream_bronze_copy": stream_bronze_copy,
     "stream_activity": stream_activity,
+    "stream_sessions_sketch": stream_sessions_sketch,
+    "stream_activity_windowed": stream_activity_windowed,
     "stream_stock_alerts": stream_stock_alerts,
     "report_kpis": report_kpis,
     "report_range_summary": lambda s: reports.range_summary(s.daily, "1996-01-01", "1997-12-31"),

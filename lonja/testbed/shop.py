@@ -233,8 +233,9 @@ _KIND = """CASE event_type WHEN 'view' THEN ' Product_Viewed' WHEN 'click' THEN
     WHEN 'signup' THEN 'CHECKOUT_STARTED' WHEN 'purchase' THEN 'order_placed ' ELSE 'stock_low' END"""
 
 
-def event_lines(spark: SparkSession, sf_dir: str, again: int = 10) -> DataFrame:
-    """Events as JSON lines in ``value``: every ``again``-th purchase is sent twice, some lines and fields are broken."""
+def event_lines(spark: SparkSession, sf_dir: str, again: int = 10, copies: tuple[int, ...] = (0, 2)) -> DataFrame:
+    """Events as JSON lines in ``value``: every ``again``-th purchase is sent twice, some lines and fields are broken. ``copies`` are the
+    seconds by which the copies to give are late."""
     sent = (
         table(spark, sf_dir, "events")
         .withColumn("p", F.expr("CAST(get_json_object(props, '$.k') AS BIGINT)"))
@@ -242,6 +243,7 @@ def event_lines(spark: SparkSession, sf_dir: str, again: int = 10) -> DataFrame:
             "late",
             F.explode(F.expr(f"IF(event_type = 'purchase' AND event_id % {again} = 0, array(0, 2), array(0))")),
         )
+        .where(F.col("late").isin(*copies))
         .withColumn("at", F.expr("ts + make_dt_interval(0, 0, 0, late)"))
     )
     stamp = "date_format(at, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
