@@ -127,7 +127,7 @@ def test_whole_run(spark, database, raw, tmp_path):
     assert counts["bronze"]["pedidos"] == 2
     silver = counts["silver"]
     assert silver["silver_pedido_detalle"] == 1 and silver["silver_historico_ventas"] == 2
-    assert silver["rechazados/pedidos"] == 1 and silver["rechazados/clientes"] == 1 and silver["rechazados/eventos"] == 1
+    assert silver["rechazados/pedidos"] == 1 and silver["rechazados/clientes"] == 1 and silver["rechazados/eventos"] == 2  # the broken line and the repeated event
     assert silver["silver_eventos_navegacion"] == 2  # backfill and stream, the repeated event once
     assert "silver_catalogo_externo" not in silver
     assert set(counts["gold"]) == set(runner.METRICS) - {"gold_catalogo_externo"}
