@@ -13,8 +13,11 @@ Lists of at most ``SHORT`` nodes give all their pairs. A longer list is not pair
 them (the same for lists that share them), which joins most of a group of copies; then only lists that still hold several components
 go on. After ``ROUNDS`` rounds, what is left is settled exactly: the members of the open lists are posted under the elements of their
 full sets, the rarest first and no more than a link leaves room for. A pair of different components is compared only if, behind the
-element where it meets, both sets are still long enough for a link; a group whose members are half alike gives hardly any such pair.
-No link between components of these lists is lost.
+element where it meets, both sets are still long enough for a link. No link between components of these lists is lost.
+
+Two exact tests keep pairs from the comparison, and lose none. Sizes: a link needs sets of which the smaller has at least four fifths
+of the larger. Parity: each set has ``PARITY`` bits, each the parity of the number of its elements that fall there; what two sets have in
+common cancels out, so they differ in at least as many elements as bits, and in a link no more than a ninth of both sizes differs.
 
 The full sets are made once, for nodes that a comparison can need, and stored in buckets by node, so that comparing does not shuffle
 them again.
@@ -45,6 +48,7 @@ MATCHES = 38
 SHORT = 16
 CHOSEN = 3
 ROUNDS = 1
+PARITY = 512
 SLICE = 250  # rows a task works on at once
 
 _random = np.random.default_rng(20)
@@ -72,16 +76,25 @@ def signature(values: np.ndarray) -> np.ndarray:
     return least
 
 
+def parity(values: np.ndarray) -> np.ndarray:
+    """For each of PARITY bits, whether an odd number of the hashes falls there."""
+    counts = np.bincount((values % np.uint64(PARITY)).astype(np.int64), minlength=PARITY)
+    return np.packbits(counts % 2 == 1).view(np.int64)
+
+
 def _signed(batch: pa.RecordBatch, hashes: Hashes) -> Iterator[dict]:
     for start in range(0, batch.num_rows, SLICE):
         part = batch.slice(start, SLICE)
-        sizes, digests, values = [], [], []
+        sizes, digests, values, bits = [], [], [], []
         for text in part.column(2):
             found = shingles(text.as_py(), hashes)
             sizes.append(len(found))
             digests.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
             values.append(signature(found).view(np.int64) if len(found) else None)
-        yield {"place": part.column(0), "doc_id": part.column(1), "n_shingles": sizes, "digest": digests, "signature": values}
+            bits.append(parity(found) if len(found) else None)
+        yield {
+            "place": part.column(0), "doc_id": part.column(1), "n_shingles": sizes, "digest": digests, "signature": values, "parity": bits
+        }
 
 
 def _sets(batch: pa.RecordBatch, hashes: Hashes) -> Iterator[dict]:
@@ -108,17 +121,22 @@ def _compared(batch: pa.RecordBatch) -> Iterator[dict]:
     yield {"a": batch.column(0), "b": batch.column(1), "linked": linked}
 
 
+_SIZES = "5 * least(a_n, b_n) >= 4 * greatest(a_n, b_n)"  # of sets that can be linked
+_PARITIES = f"9 * ({' + '.join(f'bit_count(a_parity[{i}] ^ b_parity[{i}])' for i in range(PARITY // 64))}) <= a_n + b_n"  # the same
+
+
 class _Graph:
     """Postings, value lists and sets of the nodes that can be in a pair."""
 
     def __init__(self, nodes: DataFrame, rows: DataFrame, stage: Stage):
         self.stage = stage
-        every = nodes.select("node", F.explode("signature").alias("key"))
+        every = nodes.select("node", "n_shingles", F.explode("signature").alias("key"))
         shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        lists = every.join(shared, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("keys"))
-        self.lists = stage.keep(lists.where(F.size("keys") >= MATCHES), "lists")
+        lists = every.join(shared, "key").groupBy("node", "n_shingles").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("keys"))
+        lists = lists.where(F.size("keys") >= MATCHES).join(nodes.select("node", "parity"), "node")
+        self.lists = stage.keep(lists, "lists")
         prefix = F.slice("keys", 1, F.size("keys") - MATCHES + 1)
-        posted = self.lists.select("node", F.explode(prefix["key"]).alias("key"))
+        posted = self.lists.select("node", "n_shingles", F.explode(prefix["key"]).alias("key"))
         sizes = posted.groupBy("key").agg(F.count(F.lit(1)).alias("posted")).where("posted > 1")
         self.posted = stage.keep(posted.join(sizes, "key"), "postings")
         self.long = self.posted.where(F.col("posted") > SHORT).drop("posted")
@@ -127,8 +145,8 @@ class _Graph:
 
     def short_pairs(self) -> DataFrame:
         short = self.posted.where(F.col("posted") <= SHORT).drop("posted")
-        a, b = short.select("key", F.col("node").alias("a")), short.select("key", F.col("node").alias("b"))
-        return a.join(b, "key").where("a < b").select("a", "b")
+        a, b = (short.select("key", F.col("node").alias(x), F.col("n_shingles").alias(f"{x}_n")) for x in ("a", "b"))
+        return a.join(b, "key").where(f"a < b AND {_SIZES}").select("a", "b")
 
     def _keep_sets(self, counted: DataFrame) -> DataFrame:
         """Sets of the nodes of these pairs and of all members of long lists: later pairs are among them. Rows and nodes are dealt out
@@ -145,9 +163,11 @@ class _Graph:
 
     def links(self, pairs: DataFrame, name: str) -> DataFrame:
         """Of candidate pairs, those that share enough values and whose sets are similar enough."""
-        one = self.lists.select(F.col("node").alias("a"), F.col("keys.key").alias("a_keys"))
-        other = self.lists.select(F.col("node").alias("b"), F.col("keys.key").alias("b_keys"))
-        counted = pairs.distinct().join(one, "a").join(other, "b")
+        carried = {"n": "n_shingles", "parity": "parity", "keys": "keys.key"}
+        one, other = (
+            self.lists.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{to}") for to, c in carried.items()]) for x in ("a", "b")
+        )
+        counted = pairs.distinct().join(one, "a").join(other, "b").where(_PARITIES)
         counted = counted.where(F.size(F.array_intersect("a_keys", "b_keys")) >= MATCHES).select("a", "b")
         counted = self.stage.keep(counted, f"{name}_counted")
         self.sets = self.sets or self._keep_sets(counted)
@@ -173,37 +193,40 @@ class _Graph:
         first = lists.where(spare >= 0).withColumn("room", spare + 1).withColumn("size", F.size("shared"))
         first = first.select("node", "n", "size", F.posexplode(F.slice("shared", 1, F.col("room"))).alias("place", "item"))
         posted = first.select("node", "n", (F.col("size") - F.col("place")).alias("ahead"), F.col("item.element").alias("element"))
+        nodes = nodes.join(self.lists.select("node", "parity"), "node")
         posted = self.stage.keep(posted.join(nodes, "node"), "open_postings")
         parts = posted.groupBy("element", "component").agg(F.count(F.lit(1)).alias("members"))
         largest = parts.groupBy("element").agg(F.max_by("component", F.struct("members", "component")).alias("largest"), F.count(F.lit(1)).alias("parts"))
         several = posted.join(largest.where("parts > 1").drop("parts"), "element")
-        a = several.where("component <> largest").select("element", *[F.col(c).alias(f"a_{c}") for c in ("node", "n", "ahead", "component")])
-        b = several.select("element", "largest", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "ahead", "component")])
-        enough = "9 * least(a_ahead, b_ahead) >= 4 * (a_n + b_n)"
+        kept = ("node", "n", "ahead", "component", "parity")
+        a = several.where("component <> largest").select("element", *[F.col(c).alias(f"a_{c}") for c in kept])
+        b = several.select("element", "largest", *[F.col(c).alias(f"b_{c}") for c in kept])
+        enough = "9 * least(a_ahead, b_ahead) >= 4 * (a_n + b_n) AND " + _PARITIES
         pairs = a.join(b, "element").where(f"a_component <> b_component AND (b_component = largest OR a_node < b_node) AND {enough}")
         return pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
 def _with_chosen(members: DataFrame, free: DataFrame, number: int) -> DataFrame:
     """Pairs of each list's members with some of its ``free`` members, by the hash of the node."""
-    node = F.struct("node", "component")
+    node = F.struct("node", "component", "n_shingles")
     chosen = free.groupBy("key").agg(*[F.min_by(node, F.xxhash64("node", F.lit(number * CHOSEN + i))).alias(f"c{i}") for i in range(CHOSEN)])
     chosen = chosen.select("key", F.explode(F.array_distinct(F.array(*[f"c{i}" for i in range(CHOSEN)]))).alias("one"))
-    pairs = members.join(chosen, "key").where("component <> one.component")
+    sized = _SIZES.replace("a_n", "n_shingles").replace("b_n", "one.n_shingles")
+    pairs = members.join(chosen, "key").where(f"component <> one.component AND {sized}")
     return pairs.select(F.least("node", "one.node").alias("a"), F.greatest("node", "one.node").alias("b"))
 
 
 def _with_components(members: DataFrame, found: DataFrame) -> DataFrame:
     """Lists that hold several components, each member with its component."""
-    named = members.select("key", "node").join(found.select(F.col("a").alias("node"), F.col("b").alias("star")), "node", "left")
-    named = named.select("key", "node", F.coalesce("star", "node").alias("component"))
+    named = members.select("key", "node", "n_shingles").join(found.select(F.col("a").alias("node"), F.col("b").alias("star")), "node", "left")
+    named = named.select("key", "node", "n_shingles", F.coalesce("star", "node").alias("component"))
     open_lists = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     return named.join(open_lists.select("key"), "key")
 
 
 def components(nodes: DataFrame, rows: DataFrame, stage: Stage) -> DataFrame:
-    """(a, b): node and smallest node of its component, for the nodes that are not the smallest of theirs. ``nodes`` has node and
-    signature, ``rows`` place and text."""
+    """(a, b): node and smallest node of its component, for the nodes that are not the smallest of theirs. ``nodes`` has node,
+    n_shingles, signature and parity, ``rows`` place and text."""
     graph = _Graph(nodes, rows, stage)
     members = graph.long.withColumn("component", F.col("node"))
     found = stars(graph.links(graph.short_pairs().unionByName(_with_chosen(members, members, 0)), "first"), stage, "first")
@@ -228,15 +251,17 @@ def near_duplicates(docs: DataFrame, stage: Stage, place: str | None = None) ->
     if place is None:
         docs, place = placed(texts(docs), stage, "_near_place"), "_near_place"
     rows = texts(docs, F.col(place).alias("place")).select("place", "doc_id", "text")
-    signed = batches(rows, partial(_signed, hashes=Hashes()), "place long, doc_id long, n_shingles long, digest binary, signature array<bigint>")
+    made = "place long, doc_id long, n_shingles long, digest binary, signature array<bigint>, parity array<bigint>"
+    signed = batches(rows, partial(_signed, hashes=Hashes()), made)
     with smaller_batches(docs.sparkSession):
         signed = stage.keep(signed, "signed")
     nodes = signed.where(F.col("digest").isNotNull()).groupBy("digest").agg(
-        F.min("place").alias("node"), F.min("doc_id").alias("least_id"), F.any_value("signature").alias("signature")
-    )
+        F.min("place").alias("node"), F.min("doc_id").alias("least_id"),
+        *[F.any_value(c).alias(c) for c in ("n_shingles", "signature", "parity")],
+    )
     nodes = stage.keep(nodes, "nodes")
     with smaller_batches(docs.sparkSession):
-        found = components(nodes.select("node", "signature"), rows.select("place", "text"), stage)
+        found = components(nodes.select("node", "n_shingles", "signature", "parity"), rows.select("place", "text"), stage)
     named = nodes.select("digest", "node", "least_id").join(found.select(F.col("a").alias("node"), F.col("b").alias("star")), "node", "left")
     named = stage.keep(named.select("digest", "least_id", F.coalesce("star", "node").alias("component")), "named")
     ids = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
