@@ -7,6 +7,7 @@ import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,8 +16,9 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import Checked, KeyedState, Stage
 from ..rules import DEFAULT_RULES, ShopRules
-from ..sources import Database, MissingTable, Split, stamped, write_snapshot
+from ..sources import Database, Family, Manifest, MissingTable, Split, stamped, write_snapshot
 from ..sources.feeds import (
+    named_csv,
     read_catalog,
     read_event_files,
     read_returns_history,
@@ -76,26 +78,33 @@ def ingest_database(spark: SparkSession, database: Database, lake: Lake, at: dat
     return counts
 
 
-def ingest_files(spark: SparkSession, raw: str, lake: Lake, at: datetime | None = None) -> None:
-    """The raw file families to Bronze in their own formats, and a manifest of the files. The event backfill may be missing."""
+def ingest_files(spark: SparkSession, raw: str, lake: Lake, at: datetime | None = None) -> dict[str, int]:
+    """What is new or has changed among the raw files to Bronze, each family in its own format; returns the files landed of each. The
+    event backfill may be missing."""
     raw = raw.rstrip("/")
-    families = [f"{raw}/{name}" for name in ("historico_ventas", "devoluciones_historicas.csv", "proveedores.json")]
-    sales, returned, makers = families
+    families = [
+        Family(
+            "historico_ventas", f"{raw}/historico_ventas", lake.bronze("historico_ventas"),
+            partial(land_csv, schema=schemas.SALES_HISTORY), partial(named_csv, schema=schemas.SALES_HISTORY),
+        ),
+        Family(
+            "historico_devoluciones", f"{raw}/devoluciones_historicas.csv", lake.bronze("historico_devoluciones"),
+            partial(land_csv, schema=schemas.RETURNS_HISTORY), partial(named_csv, schema=schemas.RETURNS_HISTORY),
+        ),
+        Family("proveedores", f"{raw}/proveedores.json", lake.bronze("proveedores"), land_json_array, read_suppliers),
+    ]
     try:
-        listing = file_listing(spark, families)
+        file_listing(spark, [family.source for family in families])
     except AnalysisException as problem:
         raise MissingTable(f"raw files are missing below {raw}: {problem.getMessage()}") from problem
     events = f"{raw}/eventos_web"
-    backfill = read_if_present(file_listing, spark, [events])
-    land_csv(spark, sales, lake.bronze("historico_ventas"), schemas.SALES_HISTORY)
-    land_csv(spark, returned, lake.bronze("historico_devoluciones"), schemas.RETURNS_HISTORY)
-    land_json_array(spark, makers, lake.bronze("proveedores"))
-    if backfill is None:
+    if read_if_present(file_listing, spark, [events]) is None:
         log.warning("no event backfill below %s: events come from the stream alone", raw)
     else:
-        land_lines(spark, events, lake.bronze("eventos_web", "historico"))
-        listing = listing.unionByName(backfill)
-    stamped(listing, "raw", at).write.mode("overwrite").parquet(lake.bronze("_manifiesto"))
+        backfill = lake.bronze("eventos_web", "historico")
+        families.append(Family("eventos_web", events, backfill, land_lines, lambda session, paths: session.read.text(paths)))
+    manifest = Manifest(spark, lake.bronze("_manifiesto"))
+    return {family.name: manifest.land(family, at) for family in families}
 
 
 def ingest_catalog(spark: SparkSession, source: str, lake: Lake, provider: str, at: datetime | None = None) -> bool:

@@ -11,16 +11,20 @@ from .feeds import (
     text_events,
 )
 from .lake import Lake, MissingTable
-from .landing import file_manifest, land_csv, land_lines, stamped, write_snapshot
+from .landing import file_manifest, land_csv, land_json_array, land_lines, stamped, write_snapshot
+from .manifest import Family, Manifest
 
 __all__ = [
     "Database",
+    "Family",
     "Lake",
+    "Manifest",
     "MissingTable",
     "Split",
     "file_manifest",
     "kafka_events",
     "land_csv",
+    "land_json_array",
     "land_lines",
     "read_catalog",
     "read_event_files",

@@ -18,7 +18,7 @@ KAFKA_DEFAULTS = {
 }
 
 
-def named_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def named_csv(spark: SparkSession, path: str | Sequence[str], schema: str) -> DataFrame:
     """CSV files bound by the names in their header, all fields as text: the declared columns in their order (NULL where
     the header lacks one), then all others.
 
@@ -54,7 +54,7 @@ def read_returns_history(spark: SparkSession, path: str, landed: bool = False) -
     return _csv(spark, path, schemas.RETURNS_HISTORY, landed)
 
 
-def read_suppliers(spark: SparkSession, path: str, landed: bool = False) -> DataFrame:
+def read_suppliers(spark: SparkSession, path: str | Sequence[str], landed: bool = False) -> DataFrame:
     """Suppliers come as one JSON array per file; the landed copy has one supplier per line."""
     return spark.read.schema(schemas.SUPPLIERS).option("multiLine", not landed).json(path)
 

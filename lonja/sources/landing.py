@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,7 @@ def _by_file(rows: DataFrame) -> DataFrame:
     return rows.select("*", F.col("_metadata.file_name").alias("_archivo"))
 
 
-def land_csv(spark: SparkSession, source: str, target: str, schema: str) -> None:
+def land_csv(spark: SparkSession, source: str | Sequence[str], target: str, schema: str) -> None:
     """CSV files with a header to the lake, all fields as text, one folder per file: the declared columns first, by name."""
     rows = _by_file(named_csv(spark, source, schema))
     (
@@ -48,7 +49,7 @@ def land_csv(spark: SparkSession, source: str, target: str, schema: str) -> None
     )
 
 
-def land_lines(spark: SparkSession, source: str, target: str) -> None:
+def land_lines(spark: SparkSession, source: str | Sequence[str], target: str) -> None:
     """Line-oriented text (JSON lines) to the lake unchanged, one folder per file."""
     rows = _by_file(spark.read.text(source))
     (
@@ -59,7 +60,7 @@ def land_lines(spark: SparkSession, source: str, target: str) -> None:
     )
 
 
-def land_json_array(spark: SparkSession, source: str, target: str) -> None:
+def land_json_array(spark: SparkSession, source: str | Sequence[str], target: str) -> None:
     """Supplier files (one JSON array each) to the lake as JSON lines, one folder per file."""
     rows = _by_file(spark.read.schema(schemas.SUPPLIERS).option("multiLine", True).json(source))
     (
@@ -93,11 +94,14 @@ def land_catalog(spark: SparkSession, source: str, target: str, provider: str, a
 
 
 def file_listing(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Name, size and time of raw files. Only the listing is read, never their content."""
-    return (
-        spark.read.format("binaryFile")
-        .load(paths)
-        .select(F.col("path").alias("archivo"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modificado"))
+    """Path, size and time of raw files, and their name and address as ``_metadata`` gives them in a scan. Only the listing is read,
+    never their content."""
+    return spark.read.format("binaryFile").load(paths).select(
+        F.col("path").alias("archivo"),
+        F.col("length").alias("bytes"),
+        F.col("modificationTime").alias("modificado"),
+        F.col("_metadata.file_name").alias("nombre"),
+        F.col("_metadata.file_path").alias("url"),
     )
 
 

@@ -395,6 +395,11 @@ _STATEMENTS = {
             l_extendedprice AS precio_unitario,
             CASE WHEN l_linestatus = 'F' THEN ' Web' ELSE 'APP' END AS canal, ' VILLA ' || (l_suppkey % 7) AS ciudad
         FROM lineitem""",
+    "bronze_landing": """
+        SELECT CASE WHEN l_orderkey % 5 = 1 THEN 3 ELSE 1 END AS corrida, count(*) AS registros, count(*) AS en_bronze
+        FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1""",
+    "sql_cleaning": """
+        SELECT orden_ref, fecha, sku, cantidad, CAST(precio_unitario AS DOUBLE) AS precio, canal FROM historico""",
     # rejects
     "rejects_customers": """
         SELECT id, nombre, correo, ciudad, fecha_registro, 'correo_inválido' AS motivo_rechazo
@@ -570,4 +575,6 @@ _STATEMENTS = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: statement(sql) for name, sql in _STATEMENTS.items()}
+    # read from files of their own, the rows are those of the tables
+    same = {"src_supplier_arrays": "silver_suppliers", "src_event_files": "silver_events"}
+    return {name: statement(sql) for name, sql in (_STATEMENTS | {name: _STATEMENTS[of] for name, of in same.items()}).items()}

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from datetime import datetime
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +18,29 @@ from ..functions import (
     is_email,
     lower_trim,
     price_value,
+    register_functions,
     shoe_size,
     title_trim,
     wall_clock,
 )
 from ..operators import Checked, KeyedState, Stage, keep_earliest, keep_latest, reject_summary
 from ..plans import gold, reports, silver
-from ..sources import Lake, file_manifest, land_csv, read_sales_history, text_events, write_snapshot
+from ..sources import (
+    Family,
+    Lake,
+    Manifest,
+    file_manifest,
+    land_csv,
+    land_json_array,
+    land_lines,
+    read_event_files,
+    read_returns_history,
+    read_sales_history,
+    read_suppliers,
+    text_events,
+    write_snapshot,
+)
+from ..sources.feeds import named_csv
 from . import shop
 from .shop import RULES
 
@@ -281,6 +298,61 @@ def src_csv_history(s: Shop) -> DataFrame:
     return read_sales_history(s.spark, landed, landed=True).drop("_archivo").withColumn("precio_unitario", price_value("precio_unitario"))
 
 
+def _texts_landed(s: Shop, family: str, schema: str) -> tuple[Manifest, Family]:
+    place = partial(land_csv, schema=schema), partial(named_csv, schema=schema)
+    return Manifest(s.spark, s.stage.at("manifest")), Family(family, s.stage.at(f"raw_{family}"), s.stage.at(f"bronze_{family}"), *place)
+
+
+def bronze_landing(s: Shop) -> DataFrame:
+    """Returns history as CSV files that come in twice, with a landing after each and one in between that finds nothing new: the manifest's
+    records per landing, and the records of the landed copy of its files."""
+    manifest, family = _texts_landed(s, "devoluciones", schemas.RETURNS_HISTORY)
+    rows = s.raw("devoluciones_historicas")
+    first = F.coalesce(F.col("motivo") != "DEFECTO", F.lit(True))
+    for run, part in enumerate((rows.where(first), None, rows.where(~first)), 1):
+        if part is not None:
+            part.write.mode("append").options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(family.source)
+        manifest.land(family, datetime(2024, 1, run))
+    names = F.element_at(F.split("archivo", "/"), -1)
+    log = manifest.log().select(F.day("_ingested_at").alias("corrida"), "registros", names.alias("_archivo"))
+    held = read_returns_history(s.spark, family.target, landed=True).groupBy("_archivo").agg(F.count(F.lit(1)).alias("n"))
+    return log.join(held, "_archivo", "left").groupBy("corrida").agg(
+        F.sum("registros").alias("registros"), F.sum("n").alias("en_bronze")
+    )
+
+
+def src_supplier_arrays(s: Shop) -> DataFrame:
+    """Suppliers as files of one JSON array each (up to a thousand suppliers), landed as lines and read back."""
+    raw, landed = s.stage.at("raw"), s.stage.at("bronze")
+    makers = s.raw("proveedores").withColumn("part", F.floor(F.regexp_extract("proveedor_id", r"(\d+)", 1).cast("long") / 1000))
+    arrays = makers.groupBy("part").agg(F.to_json(F.collect_list(F.struct(*schemas.field_names(schemas.SUPPLIERS)))).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(raw)
+    land_json_array(s.spark, raw, landed)
+    return silver.suppliers(read_suppliers(s.spark, landed, landed=True))
+
+
+def src_event_files(s: Shop) -> DataFrame:
+    """Events from two folders in one scan: a backfill of files that is landed by manifest, and the copy that the stream writes."""
+    backfill, copied, raw = s.stage.at("bronze/historico"), s.stage.at("bronze/stream"), s.stage.at("raw")
+    lines = s.raw("event_lines")
+    old = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    lines.where(old).write.text(raw)
+    manifest = Manifest(s.spark, s.stage.at("manifest"))
+    manifest.land(Family("eventos_web", raw, backfill, land_lines, lambda spark, paths: spark.read.text(paths)))
+    lines.where(~old).write.text(copied)
+    return silver.events(read_event_files(s.spark, [backfill, copied]), RULES).accepted
+
+
+def sql_cleaning(s: Shop) -> DataFrame:
+    """The sales history cleaned in SQL, with the session's own functions."""
+    register_functions(s.spark)
+    return s.spark.sql(
+        """SELECT orden_ref, clean_date(fecha) AS fecha, clean_upper(sku) AS sku, clean_number(cantidad) AS cantidad,
+            clean_price(precio_unitario) AS precio, clean_lower(canal) AS canal FROM {sales}""",
+        sales=s.raw("ventas_historicas"),
+    )
+
+
 def silver_orders_by_day(s: Shop, deletes: bool = False) -> DataFrame:
     """Orders that come in day by day: each day is written to Bronze and merged into the state. The last day is ingested twice."""
     path, snapshots = s.stage.at("bronze"), s.raw("pedidos")
@@ -377,7 +449,11 @@ _QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "rejects_summary": lambda s: reject_summary(s.checked),
     "bronze_snapshot": bronze_snapshot,
     "bronze_manifest": bronze_manifest,
+    "bronze_landing": bronze_landing,
     "src_csv_history": src_csv_history,
+    "src_supplier_arrays": src_supplier_arrays,
+    "src_event_files": src_event_files,
+    "sql_cleaning": sql_cleaning,
     "rejects_customers": lambda s: s.customers.rejected,
     "rejects_products": lambda s: s.products.rejected,
     "rejects_variants": lambda s: s.variants.rejected,
