@@ -4,12 +4,13 @@ Each language gets a codeword of +1 and -1. For every bit a binary classifier ov
 the languages a text comes from. A text goes to the language whose codeword loses least against the margins of all bits;
 a bit counts by how well it did on sampled texts that it did not learn from. Where the runner-up is close, the row is flagged.
 
-Learning takes at most ``per_language`` texts of a language and ``most`` texts in all, chosen by the hash of the row. Languages
-are counted over all rows. Scoring reads every whole text and shuffles nothing.
+Learning takes at most ``per_language`` texts of a language and ``most`` texts in all (one of each, if there are more languages than that),
+chosen by the hash of the row. All languages are learned; they are counted over all rows. Scoring reads every whole text and shuffles nothing.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; without any labelled row everything is
 ``und``; with one language only, that language has score 1; a null ``lang`` is not learned from; ties of a decision go to
-the alphabetically first language; repeated rows are scored each; other columns are not looked at.
+the alphabetically first language; repeated rows are scored each;
+very long texts are counted piece by piece, whole; an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -20,14 +21,14 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lonja.llm.common import batches, remainder, table, texts
 
 BITS = 14
 UNKNOWN = "und"
-MOST_LANGUAGES = 1000
+MOST_BROADCAST = 100_000
 _CHUNK = 1 << 20
 
 
@@ -118,16 +119,21 @@ def decode(codes: Codes, margins: np.ndarray) -> tuple[int, float, float]:
 
 
 def learn(docs: DataFrame, eligible: Column, per_language: int = 1200, most: int = 6000) -> Codes | None:
-    """``docs`` has text and lang. Every language gets its share of the sample, chosen by the hash of the row."""
+    """``docs`` has doc_id, text and lang. Every language gets its share of the sample, at least one row, chosen by the hash of the row."""
     labelled = docs.where(eligible & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counted = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    if not counted:
+    counted = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    languages = counted.count()
+    if not languages:
         return None
-    quota = min(per_language, max(1, most // len(counted)))
+    quota = min(per_language, max(1, most // languages))
+    # One short row per language: handed to all tasks up to a fixed number, joined by a shuffle beyond it.
+    counted = F.broadcast(counted) if languages <= MOST_BROADCAST else counted
+    # Thinned out by chance to somewhat more than the quota first, so that a frequent language does not meet whole in one task.
     whole = 1 << 30
-    limits = F.create_map(*[F.lit(x) for r in counted for x in (r["lang"], min(whole, int(whole * quota / r["count"]) + 1))])
-    row_hash = F.xxhash64("doc_id", "text")
-    sample = labelled.withColumn("row_hash", row_hash).where(F.pmod("row_hash", F.lit(whole)) < limits[F.col("lang")])
+    share = F.least(F.lit(float(whole)), F.lit(float(whole)) * (2 * quota + 20) / F.col("rows"))
+    hashed = labelled.withColumn("row_hash", F.xxhash64("doc_id", "text")).join(counted, "lang")
+    order = Window.partitionBy("lang").orderBy("row_hash", "doc_id")
+    sample = hashed.where(F.pmod("row_hash", F.lit(whole)) < share).withColumn("place", F.row_number().over(order)).where(F.col("place") <= quota)
 
     def features(batch: pa.RecordBatch) -> Iterator[dict]:
         rows = [ngrams(text) for text in batch.column(2).to_pylist()]
@@ -137,7 +143,7 @@ def learn(docs: DataFrame, eligible: Column, per_language: int = 1200, most: int
         }
 
     found = batches(sample.select("row_hash", "lang", "text"), features, "row_hash long, lang string, found binary, value binary")
-    rows = found.orderBy("row_hash", "lang").limit(2 * most).toArrow().to_pylist()
+    rows = found.orderBy("row_hash", "lang").toArrow().to_pylist()
     rows = [r for r in rows if r["found"]]
     vectors = [(np.frombuffer(r["found"], "<u2").astype(np.int64), np.frombuffer(r["value"], np.float32)) for r in rows]
     return fit(vectors, [r["lang"] for r in rows]) if rows else None
