@@ -6,14 +6,15 @@ items into ``BUCKETS`` buckets, so that one hash per item serves all sketches. O
 are taken in the order in which they stand in the text, and hashed together. So two texts share a bucket's value if they share its
 smallest items and have them in the same order, which moving parts about undoes, as it should for edit distance.
 
-Likeness is the share of equal values among the buckets that are not empty in both.
+Likeness is the share of equal values among the buckets that are not empty in both or in one of them.
 
 Only column functions: arrays of numbers are sorted whole, and what is repeated in a text alone is looked at again to number it. The
 next document (descending id) is found in one shuffle of the texts: ids are cut into blocks at sampled bounds (a number with a fixed
 limit, looked up by binary search), each block is a window, and its last row finds the next block's first row as a guest.
 
 Defined cases: a null text is the empty text; a text without tokens has an empty fingerprint, which is like another empty one (1)
-and unlike all others (0); fewer than three tokens are one item; rows with equal ids follow each other by the hash of their text; a null
+and unlike all others (0); fewer than three tokens are one item; different runs
+of a text whose 32-bit hashes are equal count as one run that occurs again, the same in equal texts; a place has room for every text; rows with equal ids follow each other by the hash of their text; a null
 id comes last; a single row is its own next one; an empty table gives an empty result; other columns are not looked at.
 """
 
@@ -27,15 +28,14 @@ from lonja.llm.common import table, texts
 TOKENS = 3
 BUCKETS = 32
 KEPT = 2
-PLACE_BITS = 24  # of a packed item: its place in the text; the 39 bits above are its hash
+PLACE_BITS = 31  # of a packed item: its place in the text, all that an array can have; the 32 bits above are its hash
 HASH_BITS = 63 - PLACE_BITS
 MOST_BLOCKS = 1 << 16
 ROWS_PER_BLOCK = 256
 
 
 def _pack(value: Column, place: Column) -> Column:
-    most = F.lit((1 << PLACE_BITS) - 1)
-    return F.shiftleft(F.shiftrightunsigned(value, 64 - HASH_BITS), PLACE_BITS).bitwiseOR(F.least(place.cast("long"), most))
+    return F.shiftleft(F.shiftrightunsigned(value, 64 - HASH_BITS), PLACE_BITS).bitwiseOR(place.cast("long"))
 
 
 def _hash(item: Column) -> Column:
