@@ -168,20 +168,20 @@ def plain_fingerprint(spark, text):
         return []
     items, place = [], 0
     runs = [tokens[i : i + 3] for i in range(max(1, len(tokens) - 2))]
-    hashes = [(h % 2**64) >> 25 for h in plain_hash(spark, runs)]
+    hashes = [(h % 2**64) >> 32 for h in plain_hash(spark, runs)]
     from pyspark.sql import functions as F
 
     count = Counter()
     for place, h in enumerate(hashes, 1):
         if count[h]:
             again = spark.range(1).select(F.xxhash64(F.lit(h).cast("long"), F.lit(count[h])).alias("h")).first().h
-            items.append(((again % 2**64) >> 25, place))
+            items.append(((again % 2**64) >> 32, place))
         else:
             items.append((h, place))
         count[h] += 1
     found = []
     for bucket in range(32):
-        few = sorted(i for i in items if i[0] >> 34 == bucket)[:2]
+        few = sorted(i for i in items if i[0] >> 27 == bucket)[:2]
         if few:
             ordered = [F.lit(h).cast("long") for h, _ in sorted(few, key=lambda x: x[1])]
             h = spark.range(1).select(F.xxhash64(*ordered).alias("h")).first().h % 2**64
@@ -253,9 +253,9 @@ def test_spread_against_a_plain_walk(spark, stage):
     edges = {("a", "b"): 2.0, ("b", "c"): 1.0, ("a", "c"): 1.0, ("c", "a"): 1.0, ("d", "c"): 3.0, ("c", "e"): 1.0}
     frame = spark.createDataFrame([(*k, w) for k, w in edges.items()], "source string, target string, weight double")
     seeds = spark.createDataFrame([("a", 0.7, 0.0), ("b", 0.3, 0.0), ("e", 0.0, 1.0)], "host string, trust double, distrust double")
-    rows = {r.host: r for r in hosts.spread(frame, seeds, stage, 7).collect()}
-    trust = plain_walk(edges, {"a": 0.7, "b": 0.3}, 7)
-    distrust = plain_walk({(t, s): w for (s, t), w in edges.items()}, {"e": 1.0}, 7)
+    rows = {r.host: r for r in hosts.spread(frame, seeds, stage, 1e-9).collect()}
+    trust = plain_walk(edges, {"a": 0.7, "b": 0.3}, 300)
+    distrust = plain_walk({(t, s): w for (s, t), w in edges.items()}, {"e": 1.0}, 300)
     for host in "abcde":
         assert rows[host].trust == pytest.approx(trust.get(host, 0)) and rows[host].distrust == pytest.approx(distrust.get(host, 0))
 
