@@ -29,7 +29,7 @@ from lonja.llm.common import table
 from lonja.operators.staging import Stage
 
 ALLOW, BLOCK = "allow", "block"
-STORED = 5  # steps of the walk between two stored ones
+STORED = 2  # steps of the walk between two stored ones: each plan stays short, and so does what the driver holds of it
 RULES = (
     (ALLOW, "org", "/"),
     (BLOCK, "example.org", "/es/"),
