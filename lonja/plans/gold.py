@@ -60,6 +60,15 @@ def _sales_by_sku(sales: DataFrame) -> DataFrame:
     return sales.groupBy("sku").agg(F.sum("unidades").alias("unidades"), F.sum("ingresos").alias("ingresos"))
 
 
+def product_sales(sales: DataFrame, variants: DataFrame, products: DataFrame) -> DataFrame:
+    """Units and income per sku with the labels of its product, which are NULL where it is unknown."""
+    return (
+        _sales_by_sku(sales.where(F.col("sku") != ""))
+        .join(variants.select("sku", "producto_id"), "sku", "left")
+        .join(_product_labels(products), "producto_id", "left")
+    )
+
+
 def top_products(
     sales: DataFrame,
     variants: DataFrame,
@@ -68,12 +77,7 @@ def top_products(
     keep: Keep = not_kept,
 ) -> DataFrame:
     """Income per sku with its rank in the whole shop and in its category."""
-    by_sku = (
-        _sales_by_sku(sales.where(F.col("sku") != ""))
-        .join(variants.select("sku", "producto_id"), "sku", "left")
-        .join(_product_labels(products), "producto_id", "left")
-    )
-    by_sku = keep(by_sku, "ventas_por_sku")
+    by_sku = keep(product_sales(sales, variants, products), "ventas_por_sku")
     # ranked before the label for a missing category is filled in: no category is a group of its own
     ranked = ranks_within(by_sku, "ingresos", {"ranking_global": [], "ranking_categoria": ["categoria"]})
     return ranked.select(

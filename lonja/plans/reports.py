@@ -15,7 +15,8 @@ def _total(col: str, kind: str) -> Column:
 
 
 def kpis(daily: DataFrame, top: DataFrame, stock: DataFrame) -> DataFrame:
-    """One row: income, units, days with sales, best product and number of variants in critical stock."""
+    """One row: income, units, days with sales, best product and number of variants in critical stock. ``top`` needs sku, nombre and
+    ingresos, no ranks."""
     best = top.orderBy(F.col("ingresos").desc(), "sku").limit(1).select("nombre")
     critical = stock.agg(F.count(F.lit(1)))
     return daily.agg(

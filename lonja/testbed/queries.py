@@ -430,9 +430,10 @@ def stream_stock_alerts(s: Shop) -> DataFrame:
 
 
 def report_kpis(s: Shop) -> DataFrame:
-    """Daily sales and best product come from the same sales, which are summed up once."""
+    """Daily sales and best product come from the same sales, which are summed up once. One best product needs no ranks."""
     s.sales = s.stage.keep(s.sales, "ventas")
-    return reports.kpis(s.daily, s.top, s.stock)
+    sold = gold.product_sales(s.sales, s.known_variants, s.products.accepted).withColumn("nombre", F.coalesce("nombre", "sku"))
+    return reports.kpis(s.daily, sold, s.stock)
 
 
 # --- registry -----------------------------------------------------------------------------------------------------
