@@ -12,16 +12,16 @@ order), or up to the count the counts of counts allow; where they allow none, ha
 of one, so that every history has something to hand down.
 
 How it is computed. Tasks cut their input into chunks of texts. (1) A chunk's distinct words go with their counts to partitions by
-word, which add them up and send each chunk its words' totals. (2) The chunk, now with the totals, sends its distinct word pairs to
-partitions by history, with counts and the texts they stand in; a history with very many tokens is split by word. A partition adds
-up the counts and gives each text the sum of its terms. The discounts of pairs are known only after all partitions are done, so a
+word, which add them up, number the words, the most frequent first, and send each chunk its words' totals and numbers. (2) The chunk,
+now with both, sends its distinct word pairs to partitions by history, as pairs of numbers with counts and the texts they stand in; a
+history with very many tokens is split by word. A partition adds up the counts and gives each text the sum of its terms. The discounts of pairs are known only after all partitions are done, so a
 text's terms are kept as a sum and as numbers of pairs seen once, twice, ... five times, and the weights a(h) come from sums per
 history by a plain aggregation and a join. All exchanges carry what a chunk has once, packed in arrays; the number of partitions
 follows the number of tokens, and so does everything that is gathered. What is stored are the chunks, the totals of words without the words, and the sums per text and
 history; the counts of pairs live in a partition's task only. So the model is not kept: no text outside the call can be scored.
 
-Defined cases: a null or empty text has the end token alone; repeated rows count and are scored as often as they occur; words and
-pairs are told apart by 64-bit and 48-bit hashes within a partition; without any training text every token is the unknown word
+Defined cases: a null or empty text has the end token alone; repeated rows count and are scored as often as they occur; words are
+told apart by 64-bit hashes; without any training text every token is the unknown word
 and has probability 1; an empty table gives an empty result; other columns are not looked at.
 """
 
@@ -46,12 +46,13 @@ from lonja.operators.staging import Stage
 LARGEST = 5  # counts up to this have a Good-Turing discount
 TENTH = 0.1  # taken off larger counts
 END, START = np.uint64(1), np.uint64(2)  # in place of word hashes
+NO_WORD = np.uint64(0)  # number of the start; those of words begin with 1
 CHUNK_TOKENS = 1_200_000
 PARTITION_TOKENS = 1_200_000
 _W = np.uint64
 
 PACKET = "part long, chunk long, payload binary"
-TOTALS = "chunk long, part long, counts binary, tokens long, types long, r1 long, r2 long, r3 long, r4 long, r5 long, r6 long"
+TOTALS = "chunk long, part long, counts binary, numbers binary, tokens long, types long, r1 long, r2 long, r3 long, r4 long, r5 long, r6 long"
 TERMS = (
     "kind int, place long, history long, total double, r1 double, r2 double, r3 double, r4 double, r5 double, r6 double, "
     "more double, lower double, doc_id long, learned int, n_tokens long, n_known long, base double"
@@ -125,6 +126,10 @@ def _columns(held: list) -> list[np.ndarray]:
     ]
 
 
+def _narrow(numbers: np.ndarray) -> np.ndarray:
+    return numbers.astype(np.uint32) if not len(numbers) or numbers.max() < 1 << 32 else numbers
+
+
 def _part_of(words: np.ndarray, parts: int) -> np.ndarray:
     return ((words * _W(0x9E3779B97F4A7C15)) >> _W(20)) % _W(parts)
 
@@ -178,23 +183,31 @@ def _chunk_packets(incoming: Iterator[pa.RecordBatch], hashes: Hashes) -> Iterat
 
 
 def _word_totals(packets: pa.Table) -> pa.Table:
-    """Totals of the words of one partition, sent back to every chunk in the order it sent them."""
+    """Totals and numbers of the words of one partition, sent back to every chunk in the order it sent them. The words of a partition are
+    numbered from 0, those with the largest totals first; with the partition that tells a word apart (see ``_number``)."""
     chunks, parts = packets.column("chunk").to_pylist(), packets.column("part").to_pylist()
     sent = [_unpacked(value) for value in packets.column("payload").to_pylist()]
     words, inverse = np.unique(np.concatenate([w for w, _ in sent]), return_inverse=True)
     totals = np.bincount(inverse, np.concatenate([c for _, c in sent]), len(words)).astype(np.uint64)
     ends = np.cumsum([len(w) for w, _ in sent])
-    back = [_packed(totals[inverse[end - len(w) : end]]) for (w, _), end in zip(sent, ends)]
+    rank = np.empty(len(words), np.uint64)
+    rank[np.lexsort((words, -totals.astype(np.int64)))] = np.arange(len(words), dtype=np.uint64)
+    spans = [inverse[end - len(w) : end] for (w, _), end in zip(sent, ends)]
+    back, ranks = [_packed(totals[span]) for span in spans], [_packed(_narrow(rank[span])) for span in spans]
     first = [i == 0 for i in range(len(chunks))]  # the sums stand in one row
 
     def once(value: float) -> list[int]:
         return [int(value) if f else 0 for f in first]
 
-    columns = {"chunk": chunks, "part": parts, "counts": back, "tokens": once(totals.sum()), "types": once((totals > 0).sum())}
+    columns = {"chunk": chunks, "part": parts, "counts": back, "numbers": ranks, "tokens": once(totals.sum()), "types": once((totals > 0).sum())}
     columns |= {f"r{r}": once((totals == r).sum()) for r in range(1, LARGEST + 2)}
     return pa.Table.from_batches([_batch(_arrow(TOTALS), columns)])
 
 
+def _number(rank: np.ndarray, part: int, parts: int) -> np.ndarray:
+    return rank.astype(np.uint64) * _W(parts) + _W(part + 1)
+
+
 # ---- discounts
 
 
@@ -232,10 +245,11 @@ def _pair_packets(word_parts: int, parts: int, tokens_all: int, types_all: int,
         if texts_of.num_rows:
             chunk = texts_of.column("chunk")[0].as_py()
             doc_ids, has_id, learned, lengths, words, ids = _unpacked(texts_of.column("payload")[0].as_py())
-            sent = dict(zip(totals.column("part").to_pylist(), totals.column("counts").to_pylist()))
-            known = np.empty(len(words), np.uint64)
+            sent = dict(zip(totals.column("part").to_pylist(), zip(*[totals.column(c).to_pylist() for c in ("counts", "numbers")])))
+            known, number = np.empty(len(words), np.uint64), np.empty(len(words), np.uint64)
             for part, mine in _owners(words, word_parts):
-                known[mine] = _unpacked(sent[part])[0]
+                known[mine], rank = (_unpacked(value)[0] for value in sent[part])
+                number[mine] = _number(rank, part, word_parts)
             count, tokens = known[ids], words[ids]
             text = np.repeat(np.arange(len(lengths), dtype=np.uint32), lengths)
             base = np.bincount(text, np.log10((count + 1.0) / (tokens_all + types_all + 1.0)), len(lengths))
@@ -246,19 +260,19 @@ def _pair_packets(word_parts: int, parts: int, tokens_all: int, types_all: int,
             history[1:], before[1:] = tokens[:-1], count[:-1]
             history[begins], before[begins] = START, known[words == END][0]
             part_of = np.where(before > hot, _part_of(history ^ (tokens << _W(1)), parts), _part_of(history, parts))
-            pair = (history * _W(0xBF58476D1CE4E5B9) + tokens * _W(0x94D049BB133111EB)) >> _W(16)
-            order = np.lexsort((text, pair, history, part_of))
+            word = number[ids]
+            history[1:], history[begins] = word[:-1], NO_WORD
+            order = np.lexsort((text, word, history, part_of))
             learned_at = learned[text]
             for part, span in _split(part_of[order]):
                 mine = order[span]
-                h, p = history[mine], pair[mine]
+                h, w = history[mine], word[mine]
                 new_history = np.concatenate([[True], h[1:] != h[:-1]])
-                new_pair = new_history | np.concatenate([[True], p[1:] != p[:-1]])
+                new_pair = new_history | np.concatenate([[True], w[1:] != w[:-1]])
                 at, h_at = np.flatnonzero(new_pair), np.flatnonzero(new_history)
                 runs = np.diff(np.append(np.searchsorted(at, h_at), len(at))).astype(np.uint32)
                 send(
-                    part, chunk, h[h_at], before[mine[h_at]], runs, (p[at] & _W(0xFFFFFFFF)).astype(np.uint32),
-                    (p[at] >> _W(32)).astype(np.uint16), count[mine[at]],
+                    part, chunk, _narrow(h[h_at]), before[mine[h_at]], runs, _narrow(w[at]), _narrow(count[mine[at]]),
                     np.add.reduceat(learned_at[mine].astype(np.uint32), at),
                     np.diff(np.append(at, len(mine))).astype(np.uint32), text[mine],
                 )
@@ -293,13 +307,13 @@ def _pair_terms(tokens_all: int, left_words: list[float], unknown: float, hot: i
             emit(TEXT, len(place), place=place, doc_id=ids, learned=learned.astype(np.int32), n_tokens=lengths.astype(np.int64),
                  n_known=seen.astype(np.int64), base=base)
         if sent:
-            h = np.concatenate([np.repeat(x[1], x[3]) for x in sent])
+            h = np.concatenate([np.repeat(x[1], x[3]) for x in sent]).astype(np.int64)
             held = np.concatenate([np.repeat(x[2], x[3]) for x in sent])
-            p = np.concatenate([x[4].astype(np.uint64) | x[5].astype(np.uint64) << _W(32) for x in sent])
-            word = np.concatenate([x[6] for x in sent])
-            learned = np.concatenate([x[7] for x in sent])
-            order = np.lexsort((p, h))
-            new = np.concatenate([[True], (h[order][1:] != h[order][:-1]) | (p[order][1:] != p[order][:-1])])
+            w = np.concatenate([x[4] for x in sent])
+            word = np.concatenate([x[5] for x in sent])
+            learned = np.concatenate([x[6] for x in sent])
+            order = np.lexsort((w, h))
+            new = np.concatenate([[True], (h[order][1:] != h[order][:-1]) | (w[order][1:] != w[order][:-1])])
             number = np.cumsum(new) - 1
             sums = np.bincount(number, learned[order]).astype(np.int64)
             count = np.empty(len(h), np.int64)
@@ -320,7 +334,7 @@ def _pair_terms(tokens_all: int, left_words: list[float], unknown: float, hot: i
             below = np.bincount(inverse, lower[first], len(histories))[wanted]
             total = np.zeros(len(histories))
             total[inverse] = held[first]
-            emit(HISTORY, int(wanted.sum()), history=histories[wanted].view(np.int64), total=total[wanted], more=more, lower=below, **per)
+            emit(HISTORY, int(wanted.sum()), history=histories[wanted], total=total[wanted], more=more, lower=below, **per)
             emit(TYPES, 1, **{f"r{r}": [float((sums == r).sum())] for r in range(1, LARGEST + 2)})
             at = 0
             for chunk, *_, occurs, text in sent:
@@ -333,7 +347,7 @@ def _pair_terms(tokens_all: int, left_words: list[float], unknown: float, hot: i
                 emit(SUM, len(texts_here), place=(chunk << 21) + texts_here.astype(np.int64), total=total, **per)
                 waits = np.repeat(awaits[span], occurs)
                 of = np.repeat(h[span], occurs)[waits]
-                emit(OPEN, len(of), place=(chunk << 21) + text[waits].astype(np.int64), history=of.view(np.int64))
+                emit(OPEN, len(of), place=(chunk << 21) + text[waits].astype(np.int64), history=of)
         return pa.Table.from_batches(batches, schema=schema)
 
     return work
@@ -362,7 +376,7 @@ def score(docs: DataFrame, learned: Column, stage: Stage) -> DataFrame:
     kept = sum(n * left_words[r] for r, n in enumerate(few, 1))
     kept += tokens_all - sum(r * n for r, n in enumerate(few, 1)) - TENTH * (types_all - sum(few))
     unknown = 1 - kept / tokens_all if tokens_all else 1.0
-    pairs = chunks.groupBy("chunk").cogroup(totals.select("chunk", "part", "counts").groupBy("chunk")).applyInArrow(
+    pairs = chunks.groupBy("chunk").cogroup(totals.select("chunk", "part", "counts", "numbers").groupBy("chunk")).applyInArrow(
         _pair_packets(parts, parts, tokens_all, types_all, hot), PACKET
     )
     terms = pairs.groupBy("part").applyInArrow(_pair_terms(tokens_all, left_words, unknown, hot), TERMS)

@@ -6,7 +6,10 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from lonja.llm import katz, language, quality
@@ -128,6 +131,22 @@ def test_katz_against_dictionaries(spark, stage, written, monkeypatch, chunk, pa
         assert row.score == pytest.approx(scores[i], abs=1e-7) and row.base_score == pytest.approx(bases[i], abs=1e-7)
 
 
+def test_katz_sends_a_pair_in_few_bytes():
+    """Pairs go to their partitions as numbers of words, of which frequent ones are small, not as hashes."""
+    random = np.random.default_rng(6)
+    words = [np.uint64(xxhash.xxh3_64_intdigest(f"w{i}".encode())) for i in range(5000)]
+    chance = 1 / np.arange(1, 5001)
+    drawn = random.choice(words, 100_000, p=chance / chance.sum())
+    drawn[999::1000] = katz.END
+    chunk = katz._packed(*katz._columns([(i, True, tokens) for i, tokens in enumerate(np.split(drawn, 100))]))
+    texts_of = pa.table({"chunk": pa.array([0], pa.int64()), "payload": pa.array([chunk], pa.binary())})
+    sent = pa.Table.from_batches(list(katz._word_packets(2)(iter(texts_of.to_batches()))))
+    totals = pa.concat_tables([katz._word_totals(sent.filter(pc.equal(sent["part"], part))) for part in (0, 1)])
+    packets = katz._pair_packets(2, 2, 100_000, 5001, 1 << 40)(texts_of, totals.select(["chunk", "part", "counts", "numbers"]))
+    pairs = len(np.unique(np.stack([drawn[:-1], drawn[1:]]), axis=1).T)
+    assert sum(map(len, packets["payload"].to_pylist())) < 6 * pairs  # a hash of 48 bits alone is 6 bytes
+
+
 def test_katz_of_odd_rows(odd, none, stage):
     rows = katz.score(odd, F.col("doc_id") < 9, stage).collect()
     assert len(rows) == odd.count() and all(math.isfinite(r.score) for r in rows)
