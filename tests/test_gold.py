@@ -166,6 +166,27 @@ def test_return_rate(rows, view, products):
     assert rates[102].tasa_devolucion is None and rates[102].nombre == "—"
 
 
+def test_return_rate_joins_stored_rows_that_need_no_sets(rows, view, products, plan):
+    """Orders with a product and reasons of an order stand once each before they meet, stored, so that the join's tasks only count."""
+    seen = {}
+
+    def keep(table, name):
+        seen[name] = [tuple(row) for row in table.collect()]
+        return rows(table.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", "), *seen[name])
+
+    returns = rows("pedido_id INT, motivo STRING", (1, "talla"), (1, "talla"), (1, None), (3, "color"), (None, "x"))
+    lost = rows(VIEW, (None, 7, None, "entregado", "confirmado", 5, Decimal(1), 100, "A"))
+    view = view.unionByName(lost)
+    rates = gold.return_rate(view, returns, products, keep=keep)
+    assert sorted(seen["productos_por_pedido"], key=str) == sorted(
+        [(100, 1, 2, 3), (101, 2, 1, 1), (100, 3, 1, 4), (102, 4, 0, None), (100, 5, 1, 3), (None, 6, 1, 1), (100, None, 1, 5)], key=str
+    )
+    assert sorted(seen["motivos"], key=str) == sorted([(1, "talla"), (1, None), (3, "color"), (None, "x")], key=str)
+    assert not any("pedido_id" in line for line in plan(rates).splitlines() if "HashAggregate(keys" in line and "motivo" in line)
+    found = {(r.producto_id, r.pedidos_con_producto, r.unidades_vendidas, r.devoluciones) for r in rates.collect()}
+    assert found == {(100, 3, 15, 3)} == {(r.producto_id, r.pedidos_con_producto, r.unidades_vendidas, r.devoluciones) for r in gold.return_rate(view, returns, products).collect()}
+
+
 def test_return_percent(rows):
     rates = rows(
         "producto_id INT, nombre STRING, unidades_vendidas BIGINT, devoluciones BIGINT, tasa_devolucion DOUBLE, "
