@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # dd?MM?yyyy with the same separator twice; the separators are / - and .
 DAY_FIRST_PATTERN = r"^(\d{2})([/.\-])(\d{2})\2(\d{4})$"
+# what the pattern yyyy-MM-dd reads: years of four digits, or more with a sign
+ISO_PATTERN = r"^(\d{4}-\d{2}-\d{2}|\+\d{5,6}-\d{2}-\d{2}|-(?!0+-)\d{4,6}-\d{2}-\d{2})\z"
 # a time of day and, behind it, anything but more digits: an offset or the name of a zone
 ZONE_PATTERN = r"^[^T ]+[T ][\d:.]+[^\d:.]"
 
@@ -14,10 +16,11 @@ ZONE_PATTERN = r"^[^T ]+[T ][\d:.]+[^\d:.]"
 def day_from_text(col: str) -> Column:
     """Date from ``yyyy-MM-dd``, ``dd/MM/yyyy``, ``dd-MM-yyyy`` or ``dd.MM.yyyy``; NULL for anything else.
 
-    Day-first text is rewritten to ISO order, so every value is parsed once and only bad values meet a parse failure.
+    Day-first text is rewritten to ISO order, so every value is parsed once. What has that form is cast, which is several times as fast
+    as parsing by a pattern; a cast alone would take other forms too.
     """
     text = F.trim(F.col(col).cast("string"))
-    return F.try_to_date(F.regexp_replace(text, DAY_FIRST_PATTERN, "$4-$3-$1"), "yyyy-MM-dd")
+    return F.regexp_extract(F.regexp_replace(text, DAY_FIRST_PATTERN, "$4-$3-$1"), ISO_PATTERN, 1).try_cast("date")
 
 
 def event_instant(col: str, naive_zone: str = "UTC") -> Column:

@@ -117,13 +117,15 @@ class Checked:
         return reduce(DataFrame.unionByName, [step.select(*self.rejected_columns, REASON) for step in self.lost()])
 
 
-def evaluated_once(rows: DataFrame) -> DataFrame:
-    """The same rows, with the computed columns as the output of a generator.
+def evaluated_once(rows: DataFrame, through: Sequence[str] = ()) -> DataFrame:
+    """The same rows, with the computed columns as the output of a generator. The columns in ``through`` pass beside it as they are, and
+    are not read where nobody wants them.
 
     A filter on a computed column is otherwise merged with its formula, and the formula is evaluated in the filter and
     again in the projection. Worth it where the formulas are dear (text cleaning) and nearly all columns are needed.
     """
-    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
+    computed = [name for name in rows.columns if name not in through]
+    return rows.select(*through, F.inline(F.array(F.struct(*computed)))).select(*rows.columns)
 
 
 def reject_summary(tables: Mapping[str, Checked]) -> DataFrame:

@@ -228,10 +228,15 @@ def sales_history(raw: DataFrame) -> Checked:
         upper_trim("sku").alias("sku"),
         whole_number("cantidad").alias("cantidad"),
         exact_price("precio_unitario").alias("precio_unitario"),
-        lower_trim("canal").alias("canal"),
-        title_trim("ciudad").alias("ciudad"),
+        "canal",
+        "ciudad",
+    )
+    # what no check looks at is cleaned behind them, and not at all where it is not wanted
+    clean = (
+        evaluated_once(typed, through=["orden_ref", "canal", "ciudad"])
+        .withColumns({"canal": lower_trim("canal"), "ciudad": title_trim("ciudad")})
+        .withColumn("subtotal", F.col("cantidad") * F.col("precio_unitario"))
     )
-    clean = evaluated_once(typed).withColumn("subtotal", F.col("cantidad") * F.col("precio_unitario"))
     sound = (
         F.col("fecha").isNotNull() & (F.col("cantidad") > 0) & (F.col("precio_unitario") > 0) & _filled("sku")
     )

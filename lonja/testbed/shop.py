@@ -36,12 +36,13 @@ def _snapshots(rows: DataFrame, key: str, columns: list[str], source: str) -> Da
     )
 
 
-def _as_read(rows: DataFrame, *columns) -> DataFrame:
+def _as_read(rows: DataFrame, *columns, others=()) -> DataFrame:
     """Computes generated columns once per row, as if they had been read from a file.
 
-    Without this the optimizer would merge the generating formulas into every filter that comes later.
+    Without this the optimizer would merge the generating formulas into every filter that comes later. ``others`` are columns that no
+    filter uses: where a query does not want them, they are not made, as a file's columns are not read.
     """
-    return rows.select(F.inline(F.array(F.struct(*columns))))
+    return rows.select(F.inline(F.array(F.struct(*columns))), *others)
 
 
 def _parsed(lines: DataFrame, schema: str) -> DataFrame:
@@ -189,19 +190,22 @@ _DATE_TEXT = """CASE WHEN l_suppkey % 50 = 0 THEN 'sin fecha'
 def ventas_historicas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales history as CSV text: four date styles and four price styles, with broken ones among them."""
     lines = table(spark, sf_dir, "lineitem").withColumn("plain", F.expr("CAST(CAST(l_extendedprice AS DECIMAL(10, 2)) AS STRING)"))
+    names = ["fecha", "orden_ref", "sku", "cantidad", "precio_unitario", "canal", "ciudad"]
     texts = [
         f"{_DATE_TEXT} AS fecha",
-        "concat('H-', l_orderkey) AS orden_ref",
         "IF(l_partkey % 113 = 0, ' ', concat(' sku-', l_partkey)) AS sku",
         "IF(l_suppkey % 71 = 0, 'muchas', CAST(CAST(l_quantity AS INT) AS STRING)) AS cantidad",
         """CASE WHEN l_partkey % 4 = 0 THEN plain
             WHEN l_partkey % 4 = 1 THEN translate(format_number(CAST(plain AS DECIMAL(10, 2)), 2), ',.', '.,')
             WHEN l_partkey % 4 = 2 THEN concat('€', format_number(CAST(plain AS DECIMAL(10, 2)), 2))
             ELSE concat(plain, ' EUR') END AS precio_unitario""",
+    ]
+    others = [
+        "concat('H-', l_orderkey) AS orden_ref",
         "IF(l_linestatus = 'F', ' Web', 'APP') AS canal",
         "concat(' VILLA ', l_suppkey % 7) AS ciudad",
     ]
-    return _as_read(lines, *map(F.expr, texts))
+    return _as_read(lines, *map(F.expr, texts), others=[*map(F.expr, others)]).select(*names)
 
 
 def devoluciones_historicas(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,18 @@ def test_sizes(rows):
     assert applied(rows, fn.shoe_size("x"), *SIZES) == list(SIZES.values())
 
 
+def test_dates_are_cast_and_not_parsed_by_a_pattern(rows, plan):
+    made = rows("x STRING", "2024-03-04").select(fn.day_from_text("x").alias("d"))
+    assert "gettimestamp" not in plan(made)
+
+
+def test_dates_of_other_forms(rows):
+    """What the pattern yyyy-MM-dd reads beside four digits, what only a cast would read, and what no timestamp can hold."""
+    good = {"-2024-01-01": "-2024-01-01", "+12345-01-01": "+12345-01-01", "0000-01-01": "0000-01-01", "+02024-01-01": "2024-01-01"}
+    bad = ["2024", "2024-01", "+2024-01-01", "12345-01-01", "-0000-01-01", "2024-01-02T00:00:00", "2024-01-02\n", "\t2024-01-02", "+1234567-01-01"]
+    assert applied(rows, fn.day_from_text("x").cast("string"), *good, *bad) == [*good.values()] + [None] * len(bad)
+
+
 def test_dates_in_four_formats(rows):
     day = date(2024, 3, 4)
     good = ["2024-03-04", "04/03/2024", "04-03-2024", "04.03.2024", "  04/03/2024 "]

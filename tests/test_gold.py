@@ -54,6 +54,12 @@ def test_unified_sales_and_daily_totals(rows, view):
     assert daily.agg(F.sum("ingresos")).first()[0] == sales.agg(F.sum("ingresos")).first()[0]
 
 
+def test_the_origins_are_summed_up_apart(rows, view, plan):
+    history = rows("fecha DATE, sku STRING, cantidad INT, subtotal DECIMAL(18,4)", (date(2024, 3, 2), "A", 1, Decimal("1.5")))
+    keys = [line.split("keys=[")[1].split("]")[0] for line in plan(gold.unified_sales(view, history)).splitlines() if "HashAggregate(keys" in line]
+    assert keys and not any("fuente" in key for key in keys)
+
+
 @pytest.fixture
 def products(rows):
     return rows(PRODUCTS, (100, "Bota", "Nike", "formal", Decimal(50)), (101, "Tacón", "Zara", "formal", Decimal(20)))

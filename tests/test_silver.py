@@ -259,3 +259,12 @@ def test_a_hot_order_and_a_hot_variant_are_split(spark, plan, tmp_path):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_history_cleans_only_what_is_wanted(rows, plan):
+    """Columns that no check looks at are cleaned behind the checks, and not at all in a query that does not want them."""
+    raw = rows(schemas.SALES_HISTORY, *[tuple("04/03/2024" if n == "fecha" else "7" if n != "sku" else " a " for n in schemas.field_names(schemas.SALES_HISTORY))])
+    accepted = silver.sales_history(raw).accepted
+    assert "initcap" in plan(accepted)
+    assert "initcap" not in plan(accepted.select("fecha", "sku", "cantidad", "subtotal"))
+    assert [tuple(r) for r in accepted.select("fecha", "sku", "cantidad").collect()] == [(date(2024, 3, 4), "A", 7)]
