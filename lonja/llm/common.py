@@ -58,16 +58,24 @@ class Hashes(dict):
         return value
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def set_smaller_batches(spark: SparkSession, rows: int) -> None:
+    """From here on the session's jobs hand at most ``rows`` rows at once to Python workers."""
+    before = int(spark.conf.get(_BATCH))
+    spark.conf.set(_BATCH, str(min(rows, before) if before > 0 else rows))
+
+
 @contextmanager
 def smaller_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """Jobs inside hand ``rows`` rows at once to Python workers instead of 10,000: for rows that may be long."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    before = spark.conf.get(_BATCH)
+    set_smaller_batches(spark, rows)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.set(_BATCH, before)
 
 
 def give_back_memory() -> None:

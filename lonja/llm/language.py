@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lonja.llm.common import batches, remainder, table, texts
+from lonja.llm.common import batches, give_back_memory, remainder, table, texts
 
 BITS = 14
 UNKNOWN = "und"
@@ -181,8 +181,11 @@ def identified(docs: DataFrame, codes: Codes | None, ambiguous_below: float = 0.
         return decode(codes, values @ codes.weights[found] + codes.bias)[2] >= ambiguous_below
 
     def over(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in incoming:
-            yield batch.filter(pa.array([sure(text) for text in batch.column(at).to_pylist()], pa.bool_()))
+        try:
+            for batch in incoming:
+                yield batch.filter(pa.array([sure(text.as_py()) for text in batch.column(at)], pa.bool_()))
+        finally:
+            give_back_memory()
 
     return docs.mapInArrow(over, docs.schema)
 

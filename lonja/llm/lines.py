@@ -25,7 +25,6 @@ import re
 from collections.abc import Iterator
 from zlib import crc32
 
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -142,9 +141,10 @@ def drop_repeats(docs: DataFrame, stage: Stage, least_words: int = LEAST_WORDS)
     spans = spans.agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_lines_spans"))
     joined = named.join(spans, ["_lines_file", "_lines_row"], "left").drop("_lines_file", "_lines_row")
 
-    @F.pandas_udf("string")
-    def left(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-        return pd.Series([t if t is None or s is None else _without(t, s, e) for t, s, e in zip(text, starts, ends)], dtype=object)
+    @F.arrow_udf("string")
+    def left(text: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
+        rows = zip(text.to_pylist(), starts.to_pylist(), ends.to_pylist())
+        return pa.array([t if t is None or s is None else _without(t, s, e) for t, s, e in rows], pa.string())
 
     cut = joined.withColumn("text", left(F.col("text").cast("string"), "_lines_spans.start", "_lines_spans.end"))
     return cut.withColumn("removed_spans", F.col("_lines_spans")).drop("_lines_spans")
